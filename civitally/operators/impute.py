@@ -8,13 +8,13 @@ wide rows are then touched once, by joins with small lookup tables.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import UNKNOWN
-from ..workspace import Workspace
+from ..workspace import Workspace, concurrently
 from .fill import all_present
 
 ZIP_FLAG = "_incident_zip_imputed"
@@ -247,23 +247,25 @@ def fill_coordinates(df: DataFrame, fills: DataFrame, scope: list[str]) -> DataF
 def prepare_fills(
     df: DataFrame, ws: Workspace, order: str, scope: list[str], places: bool = True, categories: bool = True
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Stage the place summary and one table with every small lookup.
+    """Stage the summaries, then one table with every small lookup.
 
     Reading the lookups back from Parquet gives Catalyst their real size, which
     is what decides between a broadcast and a shuffled join.
     """
-    staged_places = None
     parts: list[DataFrame] = []
+    summaries = {}
     if places:
-        staged_places = ws.stage(
-            places_with_point_zip(place_summary(df, order, scope), scope), "places"
-        )
-        parts += _place_fills(staged_places, scope)
+        summaries["places"] = places_with_point_zip(place_summary(df, order, scope), scope)
+    if categories:
+        summaries["categories"] = category_summary(df, order, scope)
+    staged = dict(
+        zip(summaries, concurrently(*[partial(ws.stage, s, n) for n, s in summaries.items()]))
+    )
+    if places:
+        parts += _place_fills(staged["places"], scope)
     if categories:
-        summary = ws.stage(category_summary(df, order, scope), "categories")
-        parts += _category_fills(summary, scope)
-    fills = reduce(DataFrame.unionByName, parts)
-    return staged_places, ws.stage(fills, "fills")
+        parts += _category_fills(staged["categories"], scope)
+    return staged.get("places"), ws.stage(reduce(DataFrame.unionByName, parts), "fills")
 
 
 def impute(

@@ -33,15 +33,15 @@ def ingest(
     ``keep_state=False``, so that it does not move the daily mark.
     """
     spark = source.sparkSession
-    ws = Workspace(spark, "ingest")
     begin = choose_start(spark, state_path, start, now)
     extracted = changed_since(source, begin)
     pages = land_pages(extracted, bronze_key, begin, page_rows)
     landed = read_raw(spark, pages).select(*DATE_COLUMNS)  # what was landed, two columns
-    mark = ws.stage(advance_watermark(landed, begin, now), "mark")
-    if keep_state:  # last: a failed landing leaves the old mark in place
-        save_state(mark, state_path)
-    return pages, strip_zone(mark.first()["latest_watermark"])
+    with Workspace(spark, "ingest") as ws:
+        mark = ws.stage(advance_watermark(landed, begin, now), "mark")
+        if keep_state:  # last: a failed landing leaves the old mark in place
+            save_state(mark, state_path)
+        return pages, strip_zone(mark.first()["latest_watermark"])
 
 
 def silver_path(bronze_path: str) -> str:
@@ -59,11 +59,11 @@ def build_silver(
     """
     if scope not in ("batch", "page"):
         raise ValueError("scope must be 'batch' or 'page'")
-    ws = Workspace(spark, "silver")
     pages = read_pages(spark, bronze_path)
-    cleaned = clean(pages, ws, scope=("page",) if scope == "page" else (), keep=keep)
     target = silver_path(bronze_path)
-    enrich(cleaned).drop("page", "row_order").write.mode("overwrite").parquet(target)
+    with Workspace(spark, "silver") as ws:
+        cleaned = clean(pages, ws, scope=("page",) if scope == "page" else (), keep=keep)
+        enrich(cleaned).drop("page", "row_order").write.mode("overwrite").parquet(target)
     return target
 
 
@@ -76,7 +76,7 @@ def load_gold(
 ) -> int:
     """Upsert silver into the star schema and refresh the views; returns rows loaded."""
     gold = Gold(spark, gold_root)
-    ws = Workspace(spark, "load")
-    rows = upsert(gold, spark.read.parquet(silver), ws, load_id or uuid.uuid4().hex[:12], now)
+    with Workspace(spark, "load") as ws:
+        rows = upsert(gold, spark.read.parquet(silver), ws, load_id or uuid.uuid4().hex[:12], now)
     register_views(gold, now)
     return rows

@@ -189,8 +189,8 @@ def _imputed(base: str, order: str) -> list[str]:
   s.community_board, s.zip2 as incident_zip, coalesce(s.city1, 'UNKNOWN') as city,
   coalesce(s.at2, 'UNKNOWN') as address_type, coalesce(s.lt2, 'UNKNOWN') as location_type,
   s.cd2 as council_district, s.police_precinct,
-  round(coalesce(s.latitude, cz.la, cb.la), 6) + 0.0::double as latitude,
-  round(coalesce(s.longitude, cz.lo, cb.lo), 6) + 0.0::double as longitude,
+  cast(round(cast(coalesce(s.latitude, cz.la, cb.la) as decimal(20,10)), 6) as double) as latitude,
+  cast(round(cast(coalesce(s.longitude, cz.lo, cb.lo) as decimal(20,10)), 6) as double) as longitude,
   s.status, s.created_date, s.closed_date, s.is_closed, s.h,
   s.incident_zip is null and s.zip2 is not null as imputed
   from {source} s left join cz on s.zip2 = cz.zip2 left join cb on s.community_board = cb.community_board)"""

@@ -7,7 +7,7 @@ derived from the given data by the batch jobs, once per session and folder.
 from __future__ import annotations
 
 from datetime import datetime
-from functools import lru_cache
+from functools import lru_cache, partial
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +27,7 @@ from ..sources import adapters as src
 from ..sources.bronze import land_pages, read_pages
 from ..sources.gold import Gold, upsert
 from ..streaming.incremental import run_incremental
-from ..workspace import Workspace
+from ..workspace import Workspace, concurrently
 from . import headlines, jobs, summaries, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,19 +46,23 @@ REQUEST_COLUMNS = [
 # ---- gold tables derived from the given data ------------------------------------
 
 
-@lru_cache(maxsize=None)
-def _gold(spark: SparkSession, sf_dir: str, which: str) -> Gold:
-    ws = Workspace(spark, f"gold-{which}")
-    gold = Gold(spark, f"{ws.path}/gold")
+def _build_gold(spark: SparkSession, sf_dir: str, which: str) -> Gold:
     if which == "history":
         source, now = src.history(spark, sf_dir), A_NOW
     else:
         source, now = src.with_required_columns(src.dense(spark, sf_dir)), B_NOW
-    silver = ws.stage(enrich(clean(source, ws, order="unique_key")), "silver")
-    upsert(gold, silver, ws, "first", now)
+    gold = Gold(spark, f"{Workspace(spark, f'gold-{which}').path}/gold")
+    with Workspace(spark, "load") as ws:
+        silver = ws.stage(enrich(clean(source, ws, order="unique_key")), "silver")
+        upsert(gold, silver, ws, "first", now)
     return gold
 
 
+@lru_cache(maxsize=None)
+def _gold(spark: SparkSession, sf_dir: str, which: str) -> Gold:
+    return _build_gold(spark, sf_dir, which)
+
+
 @lru_cache(maxsize=None)
 def _raw_dimensions(spark: SparkSession, sf_dir: str) -> Gold:
     """Dimensions of the unimputed history, filled by an early and a full batch."""
@@ -66,8 +70,7 @@ def _raw_dimensions(spark: SparkSession, sf_dir: str) -> Gold:
     gold = Gold(spark, f"{ws.path}/gold")
     full = src.history(spark, sf_dir)
     for batch in (src.snapshot(full, A_CUT), full):
-        for dim in DIMENSIONS:
-            gold.append_new_members(dim, batch)
+        concurrently(*[partial(gold.append_new_members, dim, batch) for dim in DIMENSIONS])
     return gold
 
 
@@ -182,8 +185,13 @@ def impute_district(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Means are float sums: six places, and no negative zero."""
-    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("latitude", "longitude")})
+    """Means are float sums: six places after removing binary noise."""
+    return df.withColumns(
+        {
+            c: F.round(F.col(c).cast("decimal(20,10)"), 6).cast("double")
+            for c in ("latitude", "longitude")
+        }
+    )
 
 
 def impute_coordinates(spark: SparkSession, d: str) -> DataFrame:
@@ -283,7 +291,7 @@ STAR = [
 
 
 def gold_load(spark: SparkSession, d: str) -> DataFrame:
-    star = _star(_gold(spark, d, "history"))
+    star = _star(_build_gold(spark, d, "history"))
     return _rounded(
         star.select(
             *STAR, "full_date", "day_of_week", "descriptor", *DIMENSIONS[3].key, "latitude",

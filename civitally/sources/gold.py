@@ -10,6 +10,7 @@ and repeating it is harmless.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from ..operators.dimensions import DIMENSIONS, Dimension, new_members, with_ids
 from ..operators.keys import resolve_keys
 from ..operators.merge import merge_by_key
 from ..schemas import FACT
-from ..workspace import Workspace
+from ..workspace import Workspace, concurrently, empty_table
 
 MANIFEST = T.StructType(
     [
@@ -54,7 +55,7 @@ class Gold:
 
     def dimension(self, dim: Dimension) -> DataFrame:
         found = _read_or_none(self.spark, dim.schema, "parquet", f"{self.root}/{dim.name}")
-        return found if found is not None else self.spark.createDataFrame([], dim.schema)
+        return found if found is not None else empty_table(self.spark, dim.schema)
 
     def dimensions(self) -> dict[str, DataFrame]:
         return {d.name: self.dimension(d) for d in DIMENSIONS}
@@ -77,7 +78,7 @@ class Gold:
 
     def _months(self, months: dict[str, str]) -> DataFrame:
         if not months:
-            return self.spark.createDataFrame([], STORED_FACT)
+            return empty_table(self.spark, STORED_FACT)
         base = f"{self.root}/facts"
         folders = [f"{base}/created_month={m}/load_id={v}" for m, v in sorted(months.items())]
         return self.spark.read.schema(STORED_FACT).option("basePath", base).parquet(*folders)
@@ -148,7 +149,6 @@ def upsert(gold: Gold, silver: DataFrame, ws: Workspace, load_id: str, loaded_at
     """Dimensions first, then keys, then facts. A load already published is skipped."""
     if gold.loaded(load_id):
         return 0
-    for dim in DIMENSIONS:
-        gold.append_new_members(dim, silver)
+    concurrently(*[partial(gold.append_new_members, dim, silver) for dim in DIMENSIONS])
     keyed = ws.stage(resolve_keys(silver, gold.dimensions()), "keyed")
     return gold.upsert_facts(keyed, load_id, loaded_at)

@@ -9,8 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any, Callable
 
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _local_root: str | None = None
 
@@ -25,18 +31,49 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def local_table(spark: SparkSession, schema: T.StructType, columns: list[list]) -> DataFrame:
+    """A small driver-side table as a local relation, so that Catalyst knows its size."""
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(values, field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return local_table(spark, schema, [[] for _ in schema])
+
+
 class Workspace:
-    """A private folder of staged tables for one job run."""
+    """A private folder of staged tables for one job run.
+
+    As a context manager it removes the folder once the job has succeeded; a
+    failed run leaves its tables for inspection.
+    """
 
-    def __init__(self, spark: SparkSession, label: str = "job", path: str | None = None):
+    def __init__(self, spark: SparkSession, label: str = "job"):
         self.spark = spark
-        self.path = path or f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+        self.path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         target = f"{self.path}/{name}"
         df.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, failure, *_) -> None:
+        if failure is None:
+            jvm = self.spark.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(self.path)
+            files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            files.delete(folder, True)
+
+
+def concurrently(*jobs: Callable[[], Any]) -> list:
+    """Run independent Spark jobs side by side; results in the given order."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
+
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the benchmark; a cluster passes its own."""
