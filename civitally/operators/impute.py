@@ -138,55 +138,104 @@ def category_lookups(summary: DataFrame, scope: list[str]) -> tuple[DataFrame, D
 
 # ---- all small lookups as one table --------------------------------------------
 
+# Columns of the lookup table; a row holds what one value of one key column gives.
+VALUES = {
+    "zip": "string",
+    "address_type": "string",
+    "city": "string",
+    "location_type": "string",
+    "district": "string",
+    "lat": "double",
+    "lon": "double",
+}
+
 
-def _long(df: DataFrame, scope: list[str], field: str | Column, key: str, value=None, lat=None, lon=None):
-    null = F.lit(None)
+def _gives(df: DataFrame, scope: list[str], key_column, key: str, **values: str | Column) -> DataFrame:
+    """Lookup rows: which column is matched, by what text, and the values it gives."""
+    wide = {
+        v: (F.col(values[v]) if isinstance(values.get(v), str) else values.get(v, F.lit(None)))
+        for v in VALUES
+    }
     return df.select(
         *scope,
-        (F.lit(field) if isinstance(field, str) else field).alias("field"),
-        F.col(key).cast("string").alias("k"),
-        (F.col(value) if value else null).cast("string").alias("v"),
-        (F.col(lat) if lat else null).cast("double").alias("lat"),
-        (F.col(lon) if lon else null).cast("double").alias("lon"),
+        (F.lit(key_column) if isinstance(key_column, str) else key_column).alias("key_column"),
+        F.col(key).cast("string").alias("key"),
+        *[c.cast(VALUES[v]).alias(v) for v, c in wide.items()],
     )
 
 
 def _place_fills(places: DataFrame, scope: list[str]) -> list[DataFrame]:
     places2 = places_with_final_zip(places, scope)
     by_zip, by_board = district_lookups(places2, scope)
+    zips = centroids(places2, scope, "zip2")
+    boards = centroids(places2, scope, "community_board")
     return [
-        _long(borough_zip_lookup(places, scope), scope, "zip/borough", "borough", "_borough_zip"),
-        _long(by_zip, scope, "district/zip", "zip2", "_zip_district"),
-        _long(by_board, scope, "district/board", "community_board", "_board_district"),
-        _long(centroids(places2, scope, "zip2"), scope, "centroid/zip", "zip2", lat="lat", lon="lon"),
-        _long(
-            centroids(places2, scope, "community_board"),
-            scope, "centroid/board", "community_board", lat="lat", lon="lon",
-        ),
+        _gives(borough_zip_lookup(places, scope), scope, "borough", "borough", zip="_borough_zip"),
+        _gives(by_zip, scope, "incident_zip", "zip2", district="_zip_district"),
+        _gives(by_board, scope, "community_board", "community_board", district="_board_district"),
+        _gives(zips, scope, "incident_zip", "zip2", lat="lat", lon="lon"),
+        _gives(boards, scope, "community_board", "community_board", lat="lat", lon="lon"),
     ]
 
 
 def _category_fills(summary: DataFrame, scope: list[str]) -> list[DataFrame]:
+    def rows(lookup: DataFrame, step: int, key: str, value: str) -> DataFrame:
+        column = F.coalesce(
+            *[F.when(F.col("field") == f, F.lit(ks[step])) for f, ks in CATEGORICAL.items()]
+        )
+        gives = {f: F.when(F.col("field") == f, F.col(value)) for f in CATEGORICAL}
+        return _gives(lookup, scope, column, key, **gives)
+
     step1, step2 = category_lookups(summary, scope)
-    return [
-        _long(step1, scope, F.concat("field", F.lit("/1")), "k1", "fill1"),
-        _long(step2, scope, F.concat("field", F.lit("/2")), "k2", "fill2"),
-    ]
+    return [rows(step1, 0, "k1", "fill1"), rows(step2, 1, "k2", "fill2")]
+
+
+def prepare_fills(
+    df: DataFrame, ws: Workspace, order: str, scope: list[str], places: bool, categories: bool
+) -> tuple[DataFrame | None, DataFrame]:
+    """Stage the summaries, then one table with every small lookup.
+
+    Reading the lookups back from Parquet gives Catalyst their real size, which
+    is what decides between a broadcast and a shuffled join.
+    """
+    parts: list[DataFrame] = []
+    summaries = {}
+    if places:
+        summaries["places"] = places_with_point_zip(place_summary(df, order, scope), scope)
+    if categories:
+        summaries["categories"] = category_summary(df, order, scope)
+    staged = dict(
+        zip(summaries, concurrently(ws.spark, *[partial(ws.stage, s, n) for n, s in summaries.items()]))
+    )
+    if places:
+        parts += _place_fills(staged["places"], scope)
+    if categories:
+        parts += _category_fills(staged["categories"], scope)
+    # at most one row gives each value, so max() merely merges rows of one key
+    merged = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy(*scope, "key_column", "key")
+        .agg(*[F.max(v).alias(v) for v in VALUES])
+    )
+    return staged.get("places"), ws.stage(merged, "fills")
+
+
+# ---- the pass over the wide rows -------------------------------------------------
 
 
 def _attach(
-    df: DataFrame, fills: DataFrame, scope: list[str], field: str, key: str, columns: dict[str, str]
+    df: DataFrame, fills: DataFrame, scope: list[str], column: str, values: list[str]
 ) -> DataFrame:
-    """Left join one kind of lookup; null keys never match."""
-    lookup = fills.where(F.col("field") == field).select(
-        *[F.col(s).alias(f"_s{i}") for i, s in enumerate(scope)],
-        F.col("k").alias("_k"),
-        *[F.col(src).alias(dst) for src, dst in columns.items()],
+    """Left join what ``column`` gives, as ``_<column>_<value>``; null keys never match."""
+    lookup = fills.where(F.col("key_column") == column).select(
+        *[F.col(s).alias(f"_scope{i}") for i, s in enumerate(scope)],
+        F.col("key").alias("_key"),
+        *[F.col(v).alias(f"_{column}_{v}") for v in values],
     )
-    on = [df[s].eqNullSafe(lookup[f"_s{i}"]) for i, s in enumerate(scope)]
-    on.append(df[key].cast("string") == lookup["_k"])
+    on = [F.col(s).eqNullSafe(F.col(f"_scope{i}")) for i, s in enumerate(scope)]
+    on.append(F.col(column).cast("string") == F.col("_key"))
     joined = df.join(lookup, reduce(lambda a, b: a & b, on), "left")
-    return joined.drop("_k", *[f"_s{i}" for i in range(len(scope))])
+    return joined.drop("_key", *[f"_scope{i}" for i in range(len(scope))])
 
 
 def _with_point_zip(df: DataFrame, lookup: DataFrame, scope: list[str]) -> DataFrame:
@@ -202,79 +251,60 @@ def _with_point_zip(df: DataFrame, lookup: DataFrame, scope: list[str]) -> DataF
     return df.where(~need).withColumn(ZIP_FLAG, F.lit(False)).unionByName(filled)
 
 
-def fill_zip(df: DataFrame, places: DataFrame, fills: DataFrame, scope: list[str]) -> DataFrame:
-    df = _with_point_zip(df, point_zip_lookup(places, scope), scope)
-    df = _attach(df, fills, scope, "zip/borough", "borough", {"v": "_zip"})
-    by_borough = F.col("incident_zip").isNull() & F.col("_zip").isNotNull()
-    return (
-        df.withColumn(ZIP_FLAG, F.col(ZIP_FLAG) | by_borough)
-        .withColumn("incident_zip", F.coalesce("incident_zip", F.col("_zip").cast("bigint")))
-        .drop("_zip")
-    )
-
-
-def fill_categories(df: DataFrame, fills: DataFrame, scope: list[str]) -> DataFrame:
-    for field, (k1, k2) in CATEGORICAL.items():
-        df = _attach(df, fills, scope, f"{field}/1", k1, {"v": "_v1"})
-        options = [F.col(field), F.col("_v1")]
-        if k2:
-            df = _attach(df, fills, scope, f"{field}/2", k2, {"v": "_v2"})
-            options.append(F.col("_v2"))
-        df = df.withColumn(field, F.coalesce(*options, F.lit(UNKNOWN))).drop("_v1", "_v2")
-    return df
-
+ALL_FILLS = ("zip", "categories", "district", "coordinates")
 
-def fill_district(df: DataFrame, fills: DataFrame, scope: list[str]) -> DataFrame:
-    df = _attach(df, fills, scope, "district/zip", "incident_zip", {"v": "_d1"})
-    df = _attach(df, fills, scope, "district/board", "community_board", {"v": "_d2"})
-    filled = F.coalesce(
-        "council_district", F.col("_d1").cast("bigint"), F.col("_d2").cast("bigint")
-    )
-    return df.withColumn("council_district", filled).drop("_d1", "_d2")
 
+def impute(
+    df: DataFrame,
+    ws: Workspace,
+    order: str = "row_order",
+    scope: tuple[str, ...] = (),
+    fills: tuple[str, ...] = ALL_FILLS,
+) -> DataFrame:
+    """Fill zip, categories, district and coordinates, in that order.
 
-def fill_coordinates(df: DataFrame, fills: DataFrame, scope: list[str]) -> DataFrame:
-    """Zip centroid, then community-board centroid; each axis on its own."""
-    df = _attach(df, fills, scope, "centroid/zip", "incident_zip", {"lat": "_zlat", "lon": "_zlon"})
-    df = _attach(df, fills, scope, "centroid/board", "community_board", {"lat": "_blat", "lon": "_blon"})
-    return (
-        df.withColumn("latitude", F.coalesce("latitude", "_zlat", "_blat"))
-        .withColumn("longitude", F.coalesce("longitude", "_zlon", "_blon"))
-        .drop("_zlat", "_zlon", "_blat", "_blon")
-    )
-
-
-def prepare_fills(
-    df: DataFrame, ws: Workspace, order: str, scope: list[str], places: bool = True, categories: bool = True
-) -> tuple[DataFrame | None, DataFrame]:
-    """Stage the summaries, then one table with every small lookup.
-
-    Reading the lookups back from Parquet gives Catalyst their real size, which
-    is what decides between a broadcast and a shuffled join.
+    Each key column is joined once and gives everything it can: the borough a zip
+    and a city, the zip a district and a centroid, and so on.
     """
-    parts: list[DataFrame] = []
-    summaries = {}
-    if places:
-        summaries["places"] = places_with_point_zip(place_summary(df, order, scope), scope)
-    if categories:
-        summaries["categories"] = category_summary(df, order, scope)
-    staged = dict(
-        zip(summaries, concurrently(*[partial(ws.stage, s, n) for n, s in summaries.items()]))
-    )
-    if places:
-        parts += _place_fills(staged["places"], scope)
-    if categories:
-        parts += _category_fills(staged["categories"], scope)
-    return staged.get("places"), ws.stage(reduce(DataFrame.unionByName, parts), "fills")
+    by_place = any(f in fills for f in ("zip", "district", "coordinates"))
+    by_category = "categories" in fills
+    scope = list(scope)
+    places, lookups = prepare_fills(df, ws, order, scope, by_place, by_category)
 
+    def wanted(**values: str) -> list[str]:
+        return [v for v, part in values.items() if part in fills]
 
-def impute(
-    df: DataFrame, ws: Workspace, order: str = "row_order", scope: tuple[str, ...] = ()
-) -> DataFrame:
-    """All fills, in order: zip, categories, district, coordinates."""
-    scope = list(scope)
-    places, fills = prepare_fills(df, ws, order, scope)
-    df = fill_zip(df, places, fills, scope)
-    df = fill_categories(df, fills, scope)
-    df = fill_district(df, fills, scope)
-    return fill_coordinates(df, fills, scope)
+    if by_place:
+        df = _with_point_zip(df, point_zip_lookup(places, scope), scope)
+    df = _attach(
+        df, lookups, scope, "borough",
+        (["zip"] if by_place else []) + (["city"] if by_category else []),
+    )
+    if by_place:
+        by_borough = F.col("incident_zip").isNull() & F.col("_borough_zip").isNotNull()
+        df = df.withColumns(
+            {
+                ZIP_FLAG: F.col(ZIP_FLAG) | by_borough,
+                "incident_zip": F.coalesce("incident_zip", F.col("_borough_zip").cast("bigint")),
+            }
+        )
+    by_location = wanted(district="district", lat="coordinates", lon="coordinates")
+    if by_location:
+        df = _attach(df, lookups, scope, "incident_zip", by_location)
+        df = _attach(df, lookups, scope, "community_board", by_location)
+    result: dict[str, Column] = {}
+    if "district" in by_location:
+        given = [F.col(f"_{k}_district").cast("bigint") for k in ("incident_zip", "community_board")]
+        result["council_district"] = F.coalesce("council_district", *given)
+    if "lat" in by_location:  # each axis on its own
+        for axis, short in (("latitude", "lat"), ("longitude", "lon")):
+            result[axis] = F.coalesce(axis, f"_incident_zip_{short}", f"_community_board_{short}")
+    if by_category:
+        for column in ("complaint_type", "agency", "descriptor"):
+            gives = [f for f, keys in CATEGORICAL.items() if column in keys]
+            df = _attach(df, lookups, scope, column, gives)
+        for field, keys in CATEGORICAL.items():
+            given = [F.col(f"_{k}_{field}") for k in keys if k]
+            result[field] = F.coalesce(field, *given, F.lit(UNKNOWN))
+    temporary = [c for c in df.columns if c.startswith("_") and c != ZIP_FLAG]
+    return df.withColumns(result).drop(*temporary)

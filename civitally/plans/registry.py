@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparts import strip_zone
 from ..operators import checks
-from ..operators import impute as imp
 from ..operators.cleaning import cast_columns, clean, drop_unused
 from ..operators.dedup import keep_one_per_key
 from ..operators.dimensions import DIMENSIONS
 from ..operators.enrich import enrich, imputation_stats
 from ..operators.extract import advance_watermark, changed_since
+from ..operators.impute import CATEGORICAL, ZIP_FLAG, impute
 from ..operators.keys import resolve_keys
 from ..operators.merge import merge_by_key
 from ..sources import adapters as src
@@ -70,7 +70,7 @@ def _raw_dimensions(spark: SparkSession, sf_dir: str) -> Gold:
     gold = Gold(spark, f"{ws.path}/gold")
     full = src.history(spark, sf_dir)
     for batch in (src.snapshot(full, A_CUT), full):
-        concurrently(*[partial(gold.append_new_members, dim, batch) for dim in DIMENSIONS])
+        concurrently(spark, *[partial(gold.append_new_members, dim, batch) for dim in DIMENSIONS])
     return gold
 
 
@@ -160,28 +160,22 @@ def dedup_first(spark: SparkSession, d: str) -> DataFrame:
     return keep_one_per_key(both).select(*REQUEST_COLUMNS)
 
 
-def _with_fills(spark: SparkSession, d: str, **parts: bool):
-    base = src.history(spark, d)
-    places, fills = imp.prepare_fills(base, Workspace(spark, "fills"), "unique_key", [], **parts)
-    return base, places, fills
+def _imputed(spark: SparkSession, d: str, *fills: str) -> DataFrame:
+    return impute(src.history(spark, d), Workspace(spark, "fills"), "unique_key", fills=fills)
 
 
 def impute_zip(spark: SparkSession, d: str) -> DataFrame:
-    base, places, fills = _with_fills(spark, d, categories=False)
-    return imp.fill_zip(base, places, fills, []).select(
-        "unique_key", "incident_zip", F.col(imp.ZIP_FLAG).alias("imputed")
+    return _imputed(spark, d, "zip").select(
+        "unique_key", "incident_zip", F.col(ZIP_FLAG).alias("imputed")
     )
 
 
 def impute_categorical(spark: SparkSession, d: str) -> DataFrame:
-    base, _, fills = _with_fills(spark, d, places=False)
-    return imp.fill_categories(base, fills, []).select("unique_key", *imp.CATEGORICAL)
+    return _imputed(spark, d, "categories").select("unique_key", *CATEGORICAL)
 
 
 def impute_district(spark: SparkSession, d: str) -> DataFrame:
-    base, places, fills = _with_fills(spark, d, categories=False)
-    zipped = imp.fill_zip(base, places, fills, [])
-    return imp.fill_district(zipped, fills, []).select("unique_key", "council_district")
+    return _imputed(spark, d, "district").select("unique_key", "council_district")
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -195,9 +189,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def impute_coordinates(spark: SparkSession, d: str) -> DataFrame:
-    base, places, fills = _with_fills(spark, d, categories=False)
-    zipped = imp.fill_zip(base, places, fills, [])
-    filled = imp.fill_coordinates(zipped, fills, [])
+    filled = _imputed(spark, d, "coordinates")
     return _rounded(filled.select("unique_key", "latitude", "longitude"))
 
 

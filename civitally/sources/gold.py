@@ -149,6 +149,6 @@ def upsert(gold: Gold, silver: DataFrame, ws: Workspace, load_id: str, loaded_at
     """Dimensions first, then keys, then facts. A load already published is skipped."""
     if gold.loaded(load_id):
         return 0
-    concurrently(*[partial(gold.append_new_members, dim, silver) for dim in DIMENSIONS])
+    concurrently(gold.spark, *[partial(gold.append_new_members, dim, silver) for dim in DIMENSIONS])
     keyed = ws.stage(resolve_keys(silver, gold.dimensions()), "keyed")
     return gold.upsert_facts(keyed, load_id, loaded_at)

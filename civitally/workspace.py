@@ -69,10 +69,11 @@ class Workspace:
             files.delete(folder, True)
 
 
-def concurrently(*jobs: Callable[[], Any]) -> list:
+def concurrently(spark: SparkSession, *jobs: Callable[[], Any]) -> list:
     """Run independent Spark jobs side by side; results in the given order."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(j)) for j in jobs]]
+        return [f.result() for f in [pool.submit(inherit(j)) for j in jobs]]
 
 
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
