@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..schemas import UNKNOWN
@@ -54,12 +55,16 @@ def place_summary(df: DataFrame, order: str, scope: list[str]) -> DataFrame:
 
 
 def places_with_point_zip(places: DataFrame, scope: list[str]) -> DataFrame:
-    """Zip filled from the exact coordinates, as ``zip1``."""
-    point = [*scope, "latitude", "longitude"]
-    by_point = _first_value(places, point, "incident_zip", "_point_zip")
-    return places.join(by_point, point, "left").withColumn(
-        "zip1", F.coalesce("incident_zip", "_point_zip")
-    ).drop("_point_zip")
+    """Zip filled from the exact coordinates, as ``zip1``.
+
+    A window over the summary rather than a self join: the wide rows are read once.
+    """
+    same_point = Window.partitionBy(*scope, "latitude", "longitude")
+    known = F.when(F.col("incident_zip").isNotNull(), F.col("first_row"))
+    given = F.when(
+        all_present(["latitude", "longitude"]), F.min_by("incident_zip", known).over(same_point)
+    )
+    return places.withColumn("zip1", F.coalesce("incident_zip", given))
 
 
 def point_zip_lookup(places: DataFrame, scope: list[str]) -> DataFrame:
