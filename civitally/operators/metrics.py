@@ -30,21 +30,23 @@ def _ranked(counts: DataFrame, keys: list[str], wanted: list[str]) -> DataFrame:
     """Per row, the value it contributes to the lower and upper rank of each quantile."""
     group = keys or [F.lit(1)]
     ordered = Window.partitionBy(*group).orderBy(HOURS)
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     with_hours = F.when(F.col(HOURS).isNotNull(), F.col("n")).otherwise(F.lit(0))
-    df = counts.withColumn("_m", with_hours)
-    df = df.withColumn(
-        "_last", F.sum("_m").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1
-    ).withColumn("_all", F.sum("_m").over(Window.partitionBy(*group)))
+    df = counts.withColumn("_m", with_hours).withColumns(
+        {
+            "_last": F.sum("_m").over(running) - 1,
+            "_all": F.sum("_m").over(Window.partitionBy(*group)),
+        }
+    )
     first = F.col("_last") - F.col("_m") + 1
+    contributed = {}
     for name in wanted:
         den = PERCENTILES[name][1]
         scaled = _scaled_rank(PERCENTILES[name], F.col("_all"))
-        low = F.floor(scaled / den)
-        high = F.ceil(scaled / den)
-        for suffix, rank in (("lo", low), ("hi", high)):
-            covers = (F.col("_m") > 0) & (rank >= first) & (rank <= F.col("_last"))
-            df = df.withColumn(f"_{name}_{suffix}", F.when(covers, F.col(HOURS)))
-    return df
+        for suffix, rank in (("lo", F.floor(scaled / den)), ("hi", F.ceil(scaled / den))):
+            covers = (F.col("_m") > 0) & rank.between(first, F.col("_last"))
+            contributed[f"_{name}_{suffix}"] = F.when(covers, F.col(HOURS))
+    return df.withColumns(contributed)
 
 
 def _interpolated(name: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import change_pct, published, ratio_pct, round2
 from ..functions.timeparts import days_before, month_day_label, ntz
-from .views import COUNTS, as_published, created_from, daily_metrics
+from .views import COUNTS, as_published, created_from, daily_metrics, in_order
 
 
 def _midnight(day: str = "request_date") -> Column:
@@ -29,17 +29,14 @@ def _days_from(facts: DataFrame, as_of: datetime, days: int, metrics: list[str])
 
 def daily_30d_summary(facts: DataFrame, as_of: datetime) -> DataFrame:
     metrics = COUNTS + ["pct_closed", "avg_resolution_hours", "median_resolution_hours"]
-    return (
-        as_published(_days_from(facts, as_of, 30, metrics))
-        .select(
-            "request_date",
-            *COUNTS,
-            F.col("pct_closed").alias("pct_closure_daily"),
-            F.col("avg_resolution_hours").alias("avg_resolution_time_in_hours"),
-            F.col("median_resolution_hours").alias("median_resolution_time_in_hours"),
-        )
-        .orderBy("request_date")
+    series = as_published(_days_from(facts, as_of, 30, metrics)).select(
+        "request_date",
+        *COUNTS,
+        F.col("pct_closed").alias("pct_closure_daily"),
+        F.col("avg_resolution_hours").alias("avg_resolution_time_in_hours"),
+        F.col("median_resolution_hours").alias("median_resolution_time_in_hours"),
     )
+    return in_order(series, "request_date")
 
 
 def daily_chart_series(facts: DataFrame, as_of: datetime) -> DataFrame:
