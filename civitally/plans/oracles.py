@@ -149,40 +149,48 @@ weekly as (select cw.week_start, cw.tot as week_total_requests, cw.cl as week_cl
 # ---- imputation ----------------------------------------------------------------
 
 
-def _imputed(base: str, order: str) -> list[str]:
-    """CTEs filling ``base`` step by step; the result is ``filled``."""
+def _imputed(base: str, order: str, scope: str = "") -> list[str]:
+    """CTEs filling ``base`` step by step, within ``scope``; the result is ``filled``."""
 
-    def first(name: str, src: str, keys: str, value: str) -> str:
-        known = " and ".join(f"{k} is not null" for k in [*keys.split(","), value])
-        return f"{name} as (select {keys}, arg_min({value}, {order}) as v from {src} where {known} group by {keys})"
+    def same(keys: list[str], left: str, right: str) -> str:
+        return " and ".join(f"{left}.{k} = {right}.{k}" for k in keys)
 
-    def step(name: str, src: str, lookup: str, keys: str, old: str, new: str) -> str:
-        on = " and ".join(f"s.{k} = l.{k}" for k in keys.split(","))
-        return f"{name} as (select s.*, coalesce(s.{old}, l.v) as {new} from {src} s left join {lookup} l on {on})"
+    def first(name: str, src: str, keys: list[str], value: str) -> str:
+        known = " and ".join(f"{k} is not null" for k in [*keys, value])
+        by = ", ".join(keys)
+        return f"{name} as (select {by}, arg_min({value}, {order}) as v from {src} where {known} group by {by})"
 
+    def step(name: str, src: str, lookup: str, keys: list[str], old: str, new: str) -> str:
+        return (
+            f"{name} as (select s.*, coalesce(s.{old}, l.v) as {new} from {src} s"
+            f" left join {lookup} l on {same(keys, 's', 'l')})"
+        )
+
+    inside = [scope] if scope else []
     chain: list[str] = []
     source = base
     for i, (keys, old, new) in enumerate(
         [
-            ("latitude,longitude", "incident_zip", "zip1"),
-            ("borough", "zip1", "zip2"),
-            ("complaint_type", "address_type", "at1"),
-            ("agency", "at1", "at2"),
-            ("borough", "city", "city1"),
-            ("complaint_type", "location_type", "lt1"),
-            ("descriptor", "lt1", "lt2"),
-            ("zip2", "council_district", "cd1"),
-            ("community_board", "cd1", "cd2"),
+            (["latitude", "longitude"], "incident_zip", "zip1"),
+            (["borough"], "zip1", "zip2"),
+            (["complaint_type"], "address_type", "at1"),
+            (["agency"], "at1", "at2"),
+            (["borough"], "city", "city1"),
+            (["complaint_type"], "location_type", "lt1"),
+            (["descriptor"], "lt1", "lt2"),
+            (["zip2"], "council_district", "cd1"),
+            (["community_board"], "cd1", "cd2"),
         ]
     ):
-        chain.append(first(f"l{i}", source, keys, old))
-        chain.append(step(f"f{i}", source, f"l{i}", keys, old, new))
+        chain.append(first(f"l{i}", source, [*inside, *keys], old))
+        chain.append(step(f"f{i}", source, f"l{i}", [*inside, *keys], old, new))
         source = f"f{i}"
     both = "latitude is not null and longitude is not null"
     for name, key in (("cz", "zip2"), ("cb", "community_board")):
+        by = ", ".join([*inside, key])
         chain.append(
-            f"{name} as (select {key}, avg(latitude) as la, avg(longitude) as lo from {source}"
-            f" where {both} and {key} is not null group by {key})"
+            f"{name} as (select {by}, avg(latitude) as la, avg(longitude) as lo from {source}"
+            f" where {both} and {key} is not null group by {by})"
         )
     chain.append(
         f"""filled as (select s.unique_key, s.agency, s.complaint_type, s.descriptor, s.borough,
@@ -193,7 +201,8 @@ def _imputed(base: str, order: str) -> list[str]:
   cast(round(cast(coalesce(s.longitude, cz.lo, cb.lo) as decimal(20,10)), 6) as double) as longitude,
   s.status, s.created_date, s.closed_date, s.is_closed, s.h,
   s.incident_zip is null and s.zip2 is not null as imputed
-  from {source} s left join cz on s.zip2 = cz.zip2 left join cb on s.community_board = cb.community_board)"""
+  from {source} s left join cz on {same([*inside, "zip2"], "s", "cz")}
+    left join cb on {same([*inside, "community_board"], "s", "cb")})"""
     )
     return chain
 
@@ -290,6 +299,14 @@ select {_COLUMNS} from req where unique_key not in (select unique_key from snap)
     ),
     "impute_district": _history(" select unique_key, council_district from filled", *_FILLED),
     "impute_coordinates": _history(" select unique_key, latitude, longitude from filled", *_FILLED),
+    "fill_from_group": _history(
+        " select unique_key, zip1 as incident_zip from f0", *_FILLED[:2]
+    ),
+    "clean_by_page": _history(
+        f" select {_COLUMNS} from filled",
+        "paged as (select *, unique_key // 1000 as page from req)",
+        *_imputed("paged", "unique_key", "page"),
+    ),
     "clean_requests": _history(f" select {_COLUMNS} from filled", *_FILLED),
     "imputation_stats": _history(
         """

@@ -20,6 +20,7 @@ from ..operators.dedup import keep_one_per_key
 from ..operators.dimensions import DIMENSIONS
 from ..operators.enrich import enrich, imputation_stats
 from ..operators.extract import advance_watermark, changed_since
+from ..operators.fill import fill_from_group
 from ..operators.impute import CATEGORICAL, ZIP_FLAG, impute
 from ..operators.keys import resolve_keys
 from ..operators.merge import merge_by_key
@@ -202,6 +203,19 @@ def clean_requests(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(_cleaned(spark, d).select(*REQUEST_COLUMNS))
 
 
+def clean_by_page(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of 1000 rows, each filled from its own rows only."""
+    paged = src.history(spark, d).withColumn("page", F.floor(F.col("unique_key") / 1000))
+    ws = Workspace(spark, "paged")
+    return _rounded(clean(paged, ws, order="unique_key", scope=("page",)).select(*REQUEST_COLUMNS))
+
+
+def fill_zip_from_point(spark: SparkSession, d: str) -> DataFrame:
+    point = ["latitude", "longitude"]
+    filled = fill_from_group(src.history(spark, d), "incident_zip", point, order="unique_key")
+    return filled.select("unique_key", "incident_zip")
+
+
 def imputation_quality(spark: SparkSession, d: str) -> DataFrame:
     return imputation_stats(_cleaned(spark, d))
 
@@ -353,7 +367,9 @@ QUERIES: dict[str, Query] = {
     "impute_categorical": impute_categorical,
     "impute_district": impute_district,
     "impute_coordinates": impute_coordinates,
+    "fill_from_group": fill_zip_from_point,
     "clean_requests": clean_requests,
+    "clean_by_page": clean_by_page,
     "imputation_stats": imputation_quality,
     "enrich_requests": enrich_requests,
     "silver_requests": silver_requests,
