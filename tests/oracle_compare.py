@@ -32,9 +32,31 @@ def rows_by_name(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(plain, key=repr)
 
 
+# Spark type name to DuckDB type name.
+TYPE_NAMES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(spark_df, rel) -> dict:
+    want = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got = {f.name: f.dataType.simpleString() for f in spark_df.schema}
+    got = {c: TYPE_NAMES.get(t, t.upper()) for c, t in got.items()}
+    return {c: (got[c], want.get(c)) for c in got if got[c] != want.get(c)}
+
+
 def difference(spark_df, con, sql: str) -> str | None:
     """None when equal, else a short description."""
     rel = con.sql(sql)
+    types = type_differences(spark_df, rel)
+    if types:
+        return f"types (found, expected): {types}"
     want_cols, want = rows_by_name(rel.columns, rel.fetchall())
     got_cols, got = rows_by_name(spark_df.columns, spark_df.collect())
     if got_cols != want_cols:
