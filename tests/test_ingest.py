@@ -167,6 +167,13 @@ def test_stream_equals_batch_and_restart_is_idle(spark, tmp_path):
     assert run() == 0
     assert sorted(map(tuple, Gold(spark, f"{tmp_path}/gold").facts().drop("created_month").collect()), key=str) == before
 
+    # a new checkpoint replays every page under new load ids and changes nothing
+    ids = {r[0].rsplit("-", 1)[0] for r in spark.read.json(f"{tmp_path}/gold/manifest").select("load_id").collect()}
+    assert len(ids) == 1 and "None" not in ids
+    again = run_incremental(spark, bronze, f"{tmp_path}/gold", f"{tmp_path}/cp2", text.columns, src.DENSE_AS_OF)
+    assert again == 1
+    assert sorted(map(tuple, Gold(spark, f"{tmp_path}/gold").facts().drop("created_month").collect()), key=str) == before
+
     silver = jobs.build_silver(spark, bronze)
     assert jobs.load_gold(spark, silver, f"{tmp_path}/gold2", src.DENSE_AS_OF) == full.count()
     cols = ["unique_key", "agency_code", "complaint_type", "created_date", "closed_date", "is_closed"]
