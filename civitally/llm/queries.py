@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import Workspace
+from . import langid, pii, quality, secrets
 from .common import table
 from .decontaminate import decontaminate
 from .packing import pack
@@ -23,6 +24,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), Workspace(spark, "op4"))
     return groups.select(
@@ -36,12 +45,30 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Workspace(spark, "op9"), tokenizer_path())
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), Workspace(spark, "op10"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_simhash, op6_decontaminate, op9_packing)
+    f.__name__: f
+    for f in (
+        op2_pii,
+        op3_secrets,
+        op4_simhash,
+        op6_decontaminate,
+        op7_language,
+        op9_packing,
+        op10_quality,
+    )
 }
 
 ORACLES: dict[str, str] = {}
