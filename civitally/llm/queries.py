@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import Workspace
-from . import langid, pii, quality, secrets
+from . import langid, pii, quality, secrets, wrappers
 from .common import table
 from .decontaminate import decontaminate
 from .packing import pack
@@ -50,6 +50,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"), Workspace(spark, "op8"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Workspace(spark, "op9"), tokenizer_path())
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash,
         op6_decontaminate,
         op7_language,
+        op8_extraction,
         op9_packing,
         op10_quality,
     )
