@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import Workspace
-from . import langid, pii, quality, secrets, wrappers
+from . import langid, passages, pii, quality, secrets, suffixes, wrappers
 from .common import table
 from .decontaminate import decontaminate
 from .packing import pack
@@ -24,6 +24,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"), Workspace(spark, "op1"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), Workspace(spark, "op5"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op6")
@@ -65,9 +73,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_passages,
         op2_pii,
         op3_secrets,
         op4_simhash,
+        op5_suffixes,
         op6_decontaminate,
         op7_language,
         op8_extraction,
