@@ -21,6 +21,22 @@ def days_before(moment: datetime, days: int) -> datetime:
     return strip_zone(moment) - timedelta(days=days)
 
 
+# Fixed value: the zone whose wall clock the requests are kept in.
+CITY_ZONE = "America/New_York"
+
+
+def city_now() -> Column:
+    """The city's wall clock when the plan runs, not when it is built."""
+    return F.convert_timezone(F.current_timezone(), F.lit(CITY_ZONE), F.localtimestamp())
+
+
+def before(as_of: datetime | None, days: int) -> Column:
+    """So many days before ``as_of``, or before now where there is none."""
+    if as_of is not None:
+        return ntz(days_before(as_of, days))
+    return city_now() - F.make_dt_interval(F.lit(days))
+
+
 def midnight(moment: datetime) -> datetime:
     return strip_zone(moment).replace(hour=0, minute=0, second=0, microsecond=0)
 

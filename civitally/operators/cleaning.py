@@ -45,16 +45,18 @@ def clean(
     order: str = "row_order",
     scope: tuple[str, ...] = (),
     keep: str = "first",
+    across: bool = True,
 ) -> DataFrame:
     """Cast, drop, deduplicate, impute.
 
     With an empty scope the whole batch is one unit and is deduplicated first, so
     a duplicate never donates a value. With a page column as scope, rows are
-    deduplicated and filled within their page, then once more across pages.
+    deduplicated and filled within their page, then once more across pages unless
+    ``across`` is false.
     """
     typed = drop_unused(cast_columns(df))
     base = ws.stage(keep_one_per_key(typed, order=order, scope=scope, keep=keep), "cleaned")
     filled = impute(base, ws, order, scope)
-    if scope:
+    if scope and across:
         filled = keep_one_per_key(filled, order=order, keep=keep)
     return filled

@@ -81,9 +81,9 @@ def borough_zip_lookup(places: DataFrame, scope: list[str]) -> DataFrame:
     return _first_value(places, [*scope, "borough"], "zip1", "_borough_zip")
 
 
-def places_with_final_zip(places: DataFrame, scope: list[str]) -> DataFrame:
-    on = [*scope, "borough"]
-    return places.join(borough_zip_lookup(places, scope), on, "left").withColumn(
+def places_with_final_zip(places: DataFrame, by_borough: DataFrame, scope: list[str]) -> DataFrame:
+    """``zip2``, from the staged lookup, so that its size decides how it is joined."""
+    return places.join(by_borough, [*scope, "borough"], "left").withColumn(
         "zip2", F.coalesce("zip1", "_borough_zip")
     ).drop("_borough_zip")
 
@@ -118,16 +118,15 @@ def centroids(places2: DataFrame, scope: list[str], key: str) -> DataFrame:
 def category_summary(df: DataFrame, order: str, scope: list[str]) -> DataFrame:
     """(field, k1, k2, value) with the first row order, for all three fields."""
 
-    def one(field: str, k1: str, k2: str | None) -> DataFrame:
+    def one(field: str, k1: str, k2: str | None) -> Column:
         second = F.col(k2) if k2 else F.lit(None).cast("string")
-        return (
-            df.select(*scope, F.col(k1).alias("k1"), second.alias("k2"), F.col(field).alias("value"), order)
-            .groupBy(*scope, "k1", "k2", "value")
-            .agg(F.min(order).alias("first_row"))
-            .withColumn("field", F.lit(field))
+        return F.struct(
+            F.lit(field).alias("field"), F.col(k1).alias("k1"), second.alias("k2"), F.col(field).alias("value")
         )
 
-    return reduce(DataFrame.unionByName, [one(f, *ks) for f, ks in CATEGORICAL.items()])
+    fields = F.inline(F.array(*[one(f, *ks) for f, ks in CATEGORICAL.items()]))  # one scan for all three
+    keys = [*scope, "field", "k1", "k2", "value"]
+    return df.select(*scope, F.col(order).alias("_at"), fields).groupBy(*keys).agg(F.min("_at").alias("first_row"))
 
 
 def category_lookups(summary: DataFrame, scope: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -169,13 +168,14 @@ def _gives(df: DataFrame, scope: list[str], key_column, key: str, **values: str
     )
 
 
-def _place_fills(places: DataFrame, scope: list[str]) -> list[DataFrame]:
-    places2 = places_with_final_zip(places, scope)
+def _place_fills(places: DataFrame, ws: Workspace, scope: list[str]) -> list[DataFrame]:
+    by_borough = ws.stage(borough_zip_lookup(places, scope), "borough-zips")
+    places2 = ws.stage(places_with_final_zip(places, by_borough, scope), "places-final")
     by_zip, by_board = district_lookups(places2, scope)
     zips = centroids(places2, scope, "zip2")
     boards = centroids(places2, scope, "community_board")
     return [
-        _gives(borough_zip_lookup(places, scope), scope, "borough", "borough", zip="_borough_zip"),
+        _gives(by_borough, scope, "borough", "borough", zip="_borough_zip"),
         _gives(by_zip, scope, "incident_zip", "zip2", district="_zip_district"),
         _gives(by_board, scope, "community_board", "community_board", district="_board_district"),
         _gives(zips, scope, "incident_zip", "zip2", lat="lat", lon="lon"),
@@ -213,7 +213,7 @@ def prepare_fills(
         zip(summaries, concurrently(ws.spark, *[partial(ws.stage, s, n) for n, s in summaries.items()]))
     )
     if places:
-        parts += _place_fills(staged["places"], scope)
+        parts += _place_fills(staged["places"], ws, scope)
     if categories:
         parts += _category_fills(staged["categories"], scope)
     # at most one row gives each value, so max() merely merges rows of one key
@@ -244,16 +244,24 @@ def _attach(
 
 
 def _with_point_zip(df: DataFrame, lookup: DataFrame, scope: list[str]) -> DataFrame:
-    """Only rows lacking a zip but holding coordinates meet the coordinate lookup."""
+    """Zip by exact coordinates, for rows that lack one.
+
+    Other rows ask with null coordinates, which match nothing. A left join may split the
+    rows that share the null, so they do not gather where the lookup is too large to send.
+    """
     need = F.col("incident_zip").isNull() & all_present(["latitude", "longitude"])
-    filled = (
-        df.where(need)
-        .join(lookup, [*scope, "latitude", "longitude"], "left")
-        .withColumn("incident_zip", F.col("_point_zip"))
-        .withColumn(ZIP_FLAG, F.col("incident_zip").isNotNull())
-        .select(*df.columns, ZIP_FLAG)
+    asked = {f"_ask_{c}": F.when(need, F.col(c)) for c in ("latitude", "longitude")}
+    known = lookup.select(
+        *[F.col(s).alias(f"_scope{i}") for i, s in enumerate(scope)],
+        F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), "_point_zip",
+    )
+    on = [F.col(s).eqNullSafe(F.col(f"_scope{i}")) for i, s in enumerate(scope)]
+    on += [F.col("_ask_latitude") == F.col("_lat"), F.col("_ask_longitude") == F.col("_lon")]
+    filled = df.withColumns(asked).join(known, reduce(lambda a, b: a & b, on), "left")
+    filled = filled.withColumns(
+        {ZIP_FLAG: F.col("_point_zip").isNotNull(), "incident_zip": F.coalesce("incident_zip", "_point_zip")}
     )
-    return df.where(~need).withColumn(ZIP_FLAG, F.lit(False)).unionByName(filled)
+    return filled.select(*df.columns, ZIP_FLAG)
 
 
 ALL_FILLS = ("zip", "categories", "district", "coordinates")

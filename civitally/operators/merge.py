@@ -33,3 +33,22 @@ def merge_by_key(old: DataFrame, new: DataFrame, key: str = "unique_key") -> Dat
 
     joined = o.join(n, F.col(f"o.{key}") == F.col(f"n.{key}"), "full_outer")
     return joined.select(*[merged(c).alias(c) for c in old.columns])
+
+
+def fold_by_key(rows: DataFrame, order: str, key: str = "unique_key") -> DataFrame:
+    """What upserting the rows of a key one after the other would store; ``order`` goes.
+
+    One map-side combined aggregation, so a hot key leaves each task as one row.
+    """
+    names = [c for c in rows.columns if c not in (key, order)]
+    latest = [c for c in ALWAYS_NEW if c in names]
+    known = [c for c in NEW_IF_KNOWN if c in names]
+    frozen = [c for c in names if c not in latest + known]
+    aggregates = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in known]
+    if frozen:
+        aggregates.append(F.min_by(F.struct(*frozen), order).alias("_first"))
+    if latest:
+        aggregates.append(F.max_by(F.struct(*latest), order).alias("_last"))
+    folded = rows.groupBy(key).agg(*aggregates)
+    place = {c: f"_last.{c}" for c in latest} | {c: f"_first.{c}" for c in frozen}
+    return folded.select(*[F.col(place.get(c, c)).alias(c) for c in rows.columns if c != order])

@@ -2,12 +2,14 @@
 
 Percentiles are exact. Rows are first counted per (group, hours) with an
 ordinary hash aggregation, which combines map-side and spreads a hot group over
-all tasks. What reaches the ranking window is one small row per distinct
-two-decimal hour value of a group, however many requests the group holds.
+all tasks. A running sum over coarse buckets of hours then finds the few buckets
+in which the wanted ranks lie; only hours inside those are ranked.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.rounding import ratio_pct, round2
 
 HOURS = "resolution_time_in_hours"
+BUCKET_HOURS = 24
 
 # metric: (numerator, denominator) of the percentile
 PERCENTILES = {"median_resolution_hours": (1, 2), "p90_resolution_hours": (9, 10)}
@@ -27,26 +30,37 @@ def _scaled_rank(quantile: tuple[int, int], filled: Column) -> Column:
 
 
 def _ranked(counts: DataFrame, keys: list[str], wanted: list[str]) -> DataFrame:
-    """Per row, the value it contributes to the lower and upper rank of each quantile."""
-    group = keys or [F.lit(1)]
-    ordered = Window.partitionBy(*group).orderBy(HOURS)
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    with_hours = F.when(F.col(HOURS).isNotNull(), F.col("n")).otherwise(F.lit(0))
-    df = counts.withColumn("_m", with_hours).withColumns(
-        {
-            "_last": F.sum("_m").over(running) - 1,
-            "_all": F.sum("_m").over(Window.partitionBy(*group)),
-        }
-    )
-    first = F.col("_last") - F.col("_m") + 1
-    contributed = {}
+    """Per (group, hours), the value it contributes to the lower and upper rank of each quantile.
+
+    Hours are first summed into coarse buckets; the buckets that hold a wanted rank (at
+    most two per quantile) are found by a running sum over buckets, and only the hours
+    inside them are ranked, each bucket on its own.
+    """
+    hours = counts.where(F.col(HOURS).isNotNull()).groupBy(*keys, HOURS).agg(F.sum("n").alias("_m"))
+    hours = hours.withColumn("_bucket", F.floor(F.col(HOURS) / BUCKET_HOURS))
+    buckets = hours.groupBy(*keys, "_bucket").agg(F.sum("_m").alias("_m"))
+    group = Window.partitionBy(*(keys or [F.lit(1)]))  # one row per bucket of hours
+    upto = F.sum("_m").over(group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+    placed = buckets.withColumns({"_before": upto - F.col("_m"), "_all": F.sum("_m").over(group)})
+    ranks = {}
     for name in wanted:
         den = PERCENTILES[name][1]
         scaled = _scaled_rank(PERCENTILES[name], F.col("_all"))
-        for suffix, rank in (("lo", F.floor(scaled / den)), ("hi", F.ceil(scaled / den))):
-            covers = (F.col("_m") > 0) & rank.between(first, F.col("_last"))
-            contributed[f"_{name}_{suffix}"] = F.when(covers, F.col(HOURS))
-    return df.withColumns(contributed)
+        ranks[f"_{name}_lo"] = F.floor(scaled / den)
+        ranks[f"_{name}_hi"] = F.ceil(scaled / den)
+    end = F.col("_before") + F.col("_m") - 1
+    holds = reduce(lambda a, b: a | b, [r.between(F.col("_before"), end) for r in ranks.values()])
+    held = placed.where(holds).select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col("_bucket").alias("_in"), "_before", "_all"
+    )
+    on = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    inside = hours.join(held, reduce(lambda a, b: a & b, on, F.col("_bucket") == F.col("_in")))
+    ordered = Window.partitionBy(*keys, "_bucket").orderBy(HOURS).rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("_before") + F.sum("_m").over(ordered) - 1
+    ranked = inside.withColumn("_last", last)
+    first = F.col("_last") - F.col("_m") + 1
+    covered = {c: F.when(r.between(first, F.col("_last")), F.col(HOURS)) for c, r in ranks.items()}
+    return ranked.select(*keys, "_all", *[v.alias(c) for c, v in covered.items()])
 
 
 def _interpolated(name: str) -> Column:
@@ -67,13 +81,13 @@ def request_metrics(facts: DataFrame, keys: list[str], metrics: list[str]) -> Da
     wanted = [m for m in metrics if m in PERCENTILES]
     if wanted:
         counts = facts.groupBy(*keys, "is_closed", HOURS).agg(F.count("*").alias("n"))
-        rows = _ranked(counts, keys, wanted)
+        rows = counts.unionByName(_ranked(counts, keys, wanted), allowMissingColumns=True)
         n, hours_sum = F.col("n"), F.col(HOURS) * F.col("n").cast("decimal(18,0)")
         counted = {
             "total_count": F.sum(n),
-            "closed_count": F.sum(F.when(F.col("is_closed"), n).otherwise(F.lit(0))),
+            "closed_count": F.sum(F.when(F.col("is_closed"), n).when(n.isNotNull(), F.lit(0))),
             "_hours_sum": F.sum(hours_sum),
-            "_hours_n": F.sum(F.when(F.col(HOURS).isNotNull(), n).otherwise(F.lit(0))),
+            "_hours_n": F.sum(F.when(F.col(HOURS).isNotNull(), n).when(n.isNotNull(), F.lit(0))),
         }
     else:
         rows = facts

@@ -11,7 +11,7 @@ from ..functions.timeparts import strip_zone
 from ..operators.cleaning import clean
 from ..operators.enrich import enrich
 from ..operators.extract import DATE_COLUMNS, advance_watermark, changed_since
-from ..sources.bronze import DEFAULT_PAGE_ROWS, land_pages, read_pages, read_raw
+from ..sources.bronze import DEFAULT_FILE_ROWS, PAGE_ROWS, land_pages, read_pages
 from ..sources.gold import Gold, upsert
 from ..sources.state import choose_start, save_state
 from ..workspace import Workspace
@@ -24,7 +24,7 @@ def ingest(
     state_path: str,
     now: datetime,
     start: datetime | None = None,
-    page_rows: int = DEFAULT_PAGE_ROWS,
+    file_rows: int = DEFAULT_FILE_ROWS,
     keep_state: bool = True,
 ) -> tuple[str, datetime]:
     """Extract what changed, land it, then save the new mark; returns (pages, mark).
@@ -35,8 +35,8 @@ def ingest(
     spark = source.sparkSession
     begin = choose_start(spark, state_path, start, now)
     extracted = changed_since(source, begin)
-    pages = land_pages(extracted, bronze_key, begin, page_rows)
-    landed = read_raw(spark, pages).select(*DATE_COLUMNS)  # what was landed, two columns
+    pages = land_pages(extracted, bronze_key, begin, file_rows)
+    landed = read_pages(spark, pages).select(*DATE_COLUMNS)  # what was landed, two columns
     with Workspace(spark, "ingest") as ws:
         mark = ws.stage(advance_watermark(landed, begin, now), "mark")
         if keep_state:  # last: a failed landing leaves the old mark in place
@@ -50,20 +50,24 @@ def silver_path(bronze_path: str) -> str:
 
 
 def build_silver(
-    spark: SparkSession, bronze_path: str, scope: str = "batch", keep: str = "first"
+    spark: SparkSession,
+    bronze_path: str,
+    scope: str = "batch",
+    keep: str = "first",
+    page_rows: int = PAGE_ROWS,
 ) -> str:
     """Read pages, clean, enrich, write Parquet; returns the silver path.
 
-    ``scope='page'`` fills every page from its own rows only, as a page-by-page run
-    would; ``'batch'`` fills from everything read.
+    ``scope='page'`` fills every page (``page_rows`` rows of a run in landing order) from
+    its own rows only, as a page-by-page run would; ``'batch'`` fills from everything read.
     """
     if scope not in ("batch", "page"):
         raise ValueError("scope must be 'batch' or 'page'")
-    pages = read_pages(spark, bronze_path)
+    pages = read_pages(spark, bronze_path, page_rows=page_rows)
     target = silver_path(bronze_path)
     with Workspace(spark, "silver") as ws:
         cleaned = clean(pages, ws, scope=("page",) if scope == "page" else (), keep=keep)
-        enrich(cleaned).drop("page", "row_order").write.mode("overwrite").parquet(target)
+        enrich(cleaned).drop("run", "page", "row_order").write.mode("overwrite").parquet(target)
     return target
 
 
@@ -74,9 +78,12 @@ def load_gold(
     now: datetime,
     load_id: str | None = None,
 ) -> int:
-    """Upsert silver into the star schema and refresh the views; returns rows loaded."""
+    """Upsert silver into the star schema and refresh the views; returns rows loaded.
+
+    The views look back from the time of asking, not from ``now``.
+    """
     gold = Gold(spark, gold_root)
     with Workspace(spark, "load") as ws:
         rows = upsert(gold, spark.read.parquet(silver), ws, load_id or uuid.uuid4().hex[:12], now)
-    register_views(gold, now)
+    register_views(gold)
     return rows

@@ -122,34 +122,38 @@ def _series(now: str) -> str:
 
 
 def _weekly(now: str) -> str:
-    mean = "round(cast(avg(avg_resolution_hours) as decimal(20,8)), 2)"
-    ts = "cast(request_date as timestamp)"
+    """From raw requests: number each request's week back from now, fold days, lay weeks side by side."""
 
-    def change(cur: str, prev: str) -> str:
-        return _r2(f"100.0 * (cw.{cur} - pw.{prev}) / nullif(pw.{prev}, 0)")
+    def of(week: int, column: str) -> str:
+        return f"max({column}) filter (where age = {week})"
+
+    def grown(column: str) -> str:
+        return _r2(f"100.0 * ({of(0, column)} - {of(1, column)}) / nullif({of(1, column)}, 0)")
 
     return f"""
-cw as (select min(request_date) as week_start, cast(sum(total_count) as bigint) as tot,
-  cast(sum(closed_count) as bigint) as cl, {mean} as mean_h from daily
-  where {ts} >= {now} - interval 7 day),
-pw as (select cast(sum(total_count) as bigint) as tot, cast(sum(closed_count) as bigint) as cl,
-  {mean} as mean_h from daily
-  where {ts} >= {now} - interval 14 day and {ts} < {now} - interval 7 day),
-weekly as (select cw.week_start, cw.tot as week_total_requests, cw.cl as week_closed_requests,
-  {_r2("100.0 * cw.cl / nullif(cw.tot, 0)")} as week_closed_requests_pct,
-  cast(cw.mean_h as double) as week_avg_resolution_time_in_hours,
-  pw.tot as prev_week_total_requests, pw.cl as prev_week_total_closed_requests,
-  {change("tot", "tot")} as prev_week_change_in_requests_pct,
-  {change("cl", "cl")} as prev_week_change_in_closed_requests_pct,
-  cast(pw.mean_h as double) as prev_week_avg_resolution_time_in_hours,
-  {change("mean_h", "mean_h")} as prev_week_avg_resolution_time_in_hours_pct
-  from cw, pw)"""
+aged as (select *, cast(created_date as date) as d,
+  cast(floor(epoch({now} - cast(cast(created_date as date) as timestamp)) / 604800.0) as integer)
+    - case when epoch({now} - cast(cast(created_date as date) as timestamp)) % 604800.0 = 0
+        and epoch({now} - cast(cast(created_date as date) as timestamp)) > 0 then 1 else 0 end as age
+  from req where cast(cast(created_date as date) as timestamp) <= {now}),
+days as (select age, d, count(*) as n, {_CLOSED} as c,
+  round(cast(avg({_H}) as decimal(20,8)), 2) as h from aged where age in (0, 1) group by age, d),
+weeks as (select age, min(d) as d, cast(sum(n) as bigint) as n, cast(sum(c) as bigint) as c,
+  round(cast(avg(cast(h as double)) as decimal(20,8)), 2) as h from days group by age),
+weekly as (select {of(0, "d")} as week_start, {of(0, "n")} as week_total_requests,
+  {of(0, "c")} as week_closed_requests,
+  {_r2(f"100.0 * {of(0, 'c')} / nullif({of(0, 'n')}, 0)")} as week_closed_requests_pct,
+  cast({of(0, "h")} as double) as week_avg_resolution_time_in_hours,
+  {of(1, "n")} as prev_week_total_requests, {of(1, "c")} as prev_week_total_closed_requests,
+  {grown("n")} as prev_week_change_in_requests_pct, {grown("c")} as prev_week_change_in_closed_requests_pct,
+  cast({of(1, "h")} as double) as prev_week_avg_resolution_time_in_hours,
+  {grown("h")} as prev_week_avg_resolution_time_in_hours_pct from weeks)"""
 
 
 # ---- imputation ----------------------------------------------------------------
 
 
-def _imputed(base: str, order: str, scope: str = "") -> list[str]:
+def _imputed(base: str, order: str, scope: str = "", extra: str = "") -> list[str]:
     """CTEs filling ``base`` step by step, within ``scope``; the result is ``filled``."""
 
     def same(keys: list[str], left: str, right: str) -> str:
@@ -200,7 +204,7 @@ def _imputed(base: str, order: str, scope: str = "") -> list[str]:
   cast(round(cast(coalesce(s.latitude, cz.la, cb.la) as decimal(20,10)), 6) as double) as latitude,
   cast(round(cast(coalesce(s.longitude, cz.lo, cb.lo) as decimal(20,10)), 6) as double) as longitude,
   s.status, s.created_date, s.closed_date, s.is_closed, s.h,
-  s.incident_zip is null and s.zip2 is not null as imputed
+  s.incident_zip is null and s.zip2 is not null as imputed{extra}
   from {source} s left join cz on {same([*inside, "zip2"], "s", "cz")}
     left join cb on {same([*inside, "community_board"], "s", "cb")})"""
     )
@@ -249,6 +253,26 @@ _TWO_RUNS = [
     *_imputed("picked", "rn"),
 ]
 
+_LANDED_PAGES = [
+    """paged as (select *, rn // 1000 as page from (select *,
+      row_number() over (order by created_date desc, cast(unique_key as varchar)) - 1 as rn from req))""",
+    *_imputed("paged", "rn", "page"),
+]
+_LANDED_RUN_PAGES = [
+    *_TWO_RUNS[:2],
+    """numbered as (select *, row_number() over (partition by run
+      order by created_date desc, cast(unique_key as varchar)) - 1 as nth from landed)""",
+    """paged as (select *, run * 1000000000 + nth as rn, run * 1000000 + nth // 1000 as page from numbered)""",
+    *_imputed("paged", "rn", "page", ", s.rn"),
+]
+_MIXED_RUNS = [
+    _TWO_RUNS[0],
+    f"""landed as (
+      select 1 as run, * replace (null::bigint as incident_zip, null::double as latitude, null::double as longitude) from snap
+      union all select 2 as run, * from req where {_CHANGED})""",
+    *_TWO_RUNS[2:],
+]
+
 _STAR = (
     "unique_key, agency as agency_code, complaint_type, created_date, closed_date, is_closed,"
     " h as resolution_time_in_hours"
@@ -321,6 +345,24 @@ from (select count(*) as total, count(*) filter (where imputed) as filled,
     "enrich_requests": _history(
         " select unique_key, is_closed, h as resolution_time_in_hours from req"
     ),
+    "silver_by_page": _history(
+        f" select {_COLUMNS} from filled qualify row_number() over (partition by unique_key order by rn) = 1",
+        *_LANDED_RUN_PAGES,
+    ),
+    "silver_mixed_headers": _history(f" select {_COLUMNS} from filled", *_MIXED_RUNS),
+    "stream_catch_up": _dense(f" select {_STAR} from req"),
+    "stream_fills": _history(
+        f""" select {_STAR}, coalesce(cast(incident_zip as varchar), '') as incident_zip, city,
+  cast(coalesce(council_district, -1) as integer) as council_district,
+  latitude, longitude, location_type, address_type from filled""",
+        *_LANDED_PAGES,
+    ),
+    "load_folds_repeats": _dense(
+        f"""
+select unique_key, case when created_date < {_B_CUT} then agency else 'late' end as agency_code, complaint_type,
+  created_date, closed_date, is_closed, h as resolution_time_in_hours from req
+where created_date < {_B_CUT} or closed_date is not null or unique_key % 3 = 0"""
+    ),
     "silver_requests": _history(
         f"""
 select {_COLUMNS}, is_closed,

@@ -105,12 +105,15 @@ def _then(query: Query, fn: Callable[..., DataFrame], *args) -> Query:
 BY_BOROUGH = _on_dim(views.requests_by_borough, "dim_location")
 BY_TYPE = _on_dim(views.requests_by_complaint_type, "dim_complaint_type")
 BY_AGENCY = _on_dim(views.requests_by_agency, "dim_agency")
+# the same without their order, for what aggregates or orders them anew
+TYPES = _on_dim(views.complaint_type_metrics, "dim_complaint_type")
+AGENCIES = _on_dim(views.agency_metrics, "dim_agency")
 
 
 def overview_headline(spark: SparkSession, d: str) -> DataFrame:
     facts = _gold(spark, d, "dense").facts()
     return headlines.overview_headline(
-        summaries.daily_30d_summary(facts, B_NOW), summaries.weekly_summary(facts, B_NOW)
+        summaries.daily_30d_series(facts, B_NOW), summaries.weekly_summary(facts, B_NOW)
     )
 
 
@@ -325,16 +328,69 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     ws = Workspace(spark, "stream")
     full = src.with_required_columns(src.dense(spark, d))
     bronze, root = f"{ws.path}/bronze/daily", f"{ws.path}/gold"
-    columns = src.as_text(full).columns
     for pages, start, now in (
         (src.snapshot(full, B_CUT), BEGINNING, B_CUT),
         (changed_since(full, B_CUT), B_CUT, B_NOW),
     ):
-        land_pages(src.as_text(pages).select(*columns), bronze, start)
-        run_incremental(spark, bronze, root, f"{ws.path}/checkpoint", columns, now)
+        land_pages(src.as_text(pages), bronze, start)
+        run_incremental(spark, bronze, root, f"{ws.path}/checkpoint", now)
     return _star(Gold(spark, root)).select(*STAR)
 
 
+def stream_catch_up(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs landed before the stream starts once: late closures of the second count."""
+    ws = Workspace(spark, "catch-up")
+    full = src.with_required_columns(src.dense(spark, d))
+    bronze, root = f"{ws.path}/bronze/daily", f"{ws.path}/gold"
+    land_pages(src.as_text(src.snapshot(full, B_CUT)), bronze, BEGINNING)
+    land_pages(src.as_text(changed_since(full, B_CUT)), bronze, B_CUT)
+    run_incremental(spark, bronze, root, f"{ws.path}/checkpoint", B_NOW)
+    return _star(Gold(spark, root)).select(*STAR)
+
+
+def stream_fills(spark: SparkSession, d: str) -> DataFrame:
+    """A stream over pages of the history with gaps, each filled from its own rows."""
+    ws = Workspace(spark, "stream-fills")
+    bronze, root = f"{ws.path}/bronze/daily", f"{ws.path}/gold"
+    land_pages(src.as_text(src.history(spark, d)), bronze, BEGINNING)
+    run_incremental(spark, bronze, root, f"{ws.path}/checkpoint", A_NOW, max_files=2)
+    filled = [c.name for c in DIMENSIONS[3].schema if c.name in ("incident_zip", "city", "council_district")]
+    return _rounded(
+        _star(Gold(spark, root)).select(*STAR, *filled, "latitude", "longitude", "location_type", "address_type")
+    )
+
+
+def silver_by_page(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs through landed files, each page filled from its own rows."""
+    ws = Workspace(spark, "silver-pages")
+    bronze = _two_runs(spark, ws, src.history(spark, d), A_CUT)
+    silver = spark.read.parquet(jobs.build_silver(spark, bronze, scope="page"))
+    return _rounded(silver.select(*REQUEST_COLUMNS))
+
+
+def silver_mixed_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs below one folder; the first lacks optional columns and orders others anew."""
+    ws = Workspace(spark, "mixed")
+    full, bronze = src.history(spark, d), f"{ws.path}/bronze/historical"
+    early = src.as_text(src.snapshot(full, A_CUT)).drop("incident_zip", "latitude", "longitude")
+    land_pages(early.select(*reversed(early.columns)), bronze, BEGINNING)
+    land_pages(src.as_text(changed_since(full, A_CUT)), bronze, A_CUT)
+    silver = spark.read.parquet(jobs.build_silver(spark, bronze))
+    return _rounded(silver.select(*REQUEST_COLUMNS))
+
+
+def load_folds_repeats(spark: SparkSession, d: str) -> DataFrame:
+    """One load that holds early and late rows of a request stores it once."""
+    full = src.with_metrics_columns(src.with_required_columns(src.dense(spark, d)))
+    early = src.with_metrics_columns(src.snapshot(src.with_required_columns(src.dense(spark, d)), B_CUT))
+    late = full.where("closed_date is not null or unique_key % 3 = 0").withColumn("agency", F.lit("late"))
+    both = early.withColumn("turn", F.lit(1)).unionByName(late.withColumn("turn", F.lit(2)))
+    ws = Workspace(spark, "fold")
+    gold = Gold(spark, f"{ws.path}/gold")
+    upsert(gold, both, ws, "only", B_NOW, order="turn")
+    return _star(gold).select(*STAR)
+
+
 # ---- checks ------------------------------------------------------------------------
 
 
@@ -373,6 +429,8 @@ QUERIES: dict[str, Query] = {
     "imputation_stats": imputation_quality,
     "enrich_requests": enrich_requests,
     "silver_requests": silver_requests,
+    "silver_by_page": silver_by_page,
+    "silver_mixed_headers": silver_mixed_headers,
     # star schema
     "dim_date": _dimension(0),
     "dim_agency": _dimension(1),
@@ -384,6 +442,9 @@ QUERIES: dict[str, Query] = {
     "gold_load": gold_load,
     "late_closure_upsert": late_closure_upsert,
     "stream_upsert": stream_upsert,
+    "stream_catch_up": stream_catch_up,
+    "stream_fills": stream_fills,
+    "load_folds_repeats": load_folds_repeats,
     "check_fact_key": check_fact_key,
     "check_fact_fks": check_fact_fks,
     "check_dim_keys": check_dim_keys,
@@ -405,10 +466,10 @@ QUERIES: dict[str, Query] = {
     "weekly_summary": _on_facts("dense", summaries.weekly_summary, B_NOW),
     "weekly_summary_history": _on_facts("history", summaries.weekly_summary, A_NOW),
     "overview_headline": overview_headline,
-    "top10_complaint_types": _then(BY_TYPE, headlines.top_by_volume, "complaint_type"),
-    "top10_agencies": _then(BY_AGENCY, headlines.top_by_volume, "agency_code"),
-    "agency_headline": _then(BY_AGENCY, headlines.agency_headline),
-    "complaints_headline": _then(BY_TYPE, headlines.complaints_headline),
+    "top10_complaint_types": _then(TYPES, headlines.top_by_volume, "complaint_type"),
+    "top10_agencies": _then(AGENCIES, headlines.top_by_volume, "agency_code"),
+    "agency_headline": _then(AGENCIES, headlines.agency_headline),
+    "complaints_headline": _then(TYPES, headlines.complaints_headline),
     "backlog_share": _then(
         _on_facts("history", views.backlog_aging, A_NOW), headlines.backlog_share
     ),

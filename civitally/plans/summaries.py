@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import change_pct, published, ratio_pct, round2
-from ..functions.timeparts import days_before, month_day_label, ntz
+from ..functions.timeparts import before, month_day_label
 from .views import COUNTS, as_published, created_from, daily_metrics, in_order
 
 
@@ -22,21 +22,25 @@ def _days_from(facts: DataFrame, as_of: datetime, days: int, metrics: list[str])
     The bound on the raw timestamp reaches the scan; the one on the day drops the
     partial first day.
     """
-    start = days_before(as_of, days)
+    start = before(as_of, days)
     daily = daily_metrics(created_from(facts, start), metrics)
-    return daily.where(_midnight() >= ntz(start))
+    return daily.where(_midnight() >= start)
 
 
 def daily_30d_summary(facts: DataFrame, as_of: datetime) -> DataFrame:
+    return in_order(daily_30d_series(facts, as_of), "request_date")
+
+
+def daily_30d_series(facts: DataFrame, as_of: datetime) -> DataFrame:
+    """The summary, unordered."""
     metrics = COUNTS + ["pct_closed", "avg_resolution_hours", "median_resolution_hours"]
-    series = as_published(_days_from(facts, as_of, 30, metrics)).select(
+    return as_published(_days_from(facts, as_of, 30, metrics)).select(
         "request_date",
         *COUNTS,
         F.col("pct_closed").alias("pct_closure_daily"),
         F.col("avg_resolution_hours").alias("avg_resolution_time_in_hours"),
         F.col("median_resolution_hours").alias("median_resolution_time_in_hours"),
     )
-    return in_order(series, "request_date")
 
 
 def daily_chart_series(facts: DataFrame, as_of: datetime) -> DataFrame:
@@ -59,7 +63,7 @@ def weekly_summary(facts: DataFrame, as_of: datetime) -> DataFrame:
     daily = _days_from(
         facts, as_of, 14, ["total_count", "closed_count", "avg_resolution_hours"]
     )
-    this_week = _midnight() >= ntz(days_before(as_of, 7))
+    this_week = _midnight() >= before(as_of, 7)
 
     def over(week: Column, column: str) -> Column:
         return F.when(week, F.col(column))

@@ -1,7 +1,7 @@
 """The eight metric views over the gold tables.
 
 Every view is a function of the fact table, a dimension where it groups by one,
-and ``as_of`` where it looks back from now.
+and ``as_of`` where it looks back from now; None means the time of asking.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import published
-from ..functions.timeparts import days_before, month_text, ntz
+from ..functions.timeparts import before, month_of
 from ..operators.metrics import request_metrics
 from ..sources.gold import Gold
 
@@ -35,11 +35,11 @@ def as_published(df: DataFrame) -> DataFrame:
     )
 
 
-def created_from(facts: DataFrame, start: datetime) -> DataFrame:
+def created_from(facts: DataFrame, start: Column) -> DataFrame:
     """Row-time lower bound; the month bound prunes folders, the other row groups."""
-    recent = facts.where(F.col("created_date") >= ntz(start))
+    recent = facts.where(F.col("created_date") >= start)
     if "created_month" in facts.columns:
-        recent = recent.where(F.col("created_month") >= month_text(start))
+        recent = recent.where(F.col("created_month") >= month_of(start))
     return recent
 
 
@@ -61,16 +61,16 @@ def requests_daily(facts: DataFrame) -> DataFrame:
     return in_order(as_published(daily_metrics(facts, ALL_METRICS)), F.col("request_date").desc())
 
 
-def trailing_window(facts: DataFrame, as_of: datetime, days: int) -> DataFrame:
-    recent = created_from(facts, days_before(as_of, days))
+def trailing_window(facts: DataFrame, as_of: datetime | None, days: int) -> DataFrame:
+    recent = created_from(facts, before(as_of, days))
     return as_published(request_metrics(recent, [], ALL_METRICS))
 
 
-def requests_7d(facts: DataFrame, as_of: datetime) -> DataFrame:
+def requests_7d(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return trailing_window(facts, as_of, 7)
 
 
-def requests_30d(facts: DataFrame, as_of: datetime) -> DataFrame:
+def requests_30d(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return trailing_window(facts, as_of, 30)
 
 
@@ -85,22 +85,28 @@ def requests_by_borough(facts: DataFrame, dim_location: DataFrame) -> DataFrame:
 
 
 def requests_by_complaint_type(facts: DataFrame, dim_complaint_type: DataFrame) -> DataFrame:
-    """Descriptors of one complaint type collapse into it."""
+    return by_volume(complaint_type_metrics(facts, dim_complaint_type), "complaint_type")
+
+
+def requests_by_agency(facts: DataFrame, dim_agency: DataFrame) -> DataFrame:
+    return by_volume(agency_metrics(facts, dim_agency), "agency_code")
+
+
+def complaint_type_metrics(facts: DataFrame, dim_complaint_type: DataFrame) -> DataFrame:
+    """Descriptors of one complaint type collapse into it; unordered."""
     typed = facts.join(
         dim_complaint_type.select("complaint_type_id", "complaint_type"), "complaint_type_id"
     )
     metrics = [m for m in ALL_METRICS if m != "open_count"]
-    result = request_metrics(typed, ["complaint_type"], metrics)
-    return by_volume(as_published(result), "complaint_type")
+    return as_published(request_metrics(typed, ["complaint_type"], metrics))
 
 
-def requests_by_agency(facts: DataFrame, dim_agency: DataFrame) -> DataFrame:
-    """Requests without an agency drop out here."""
+def agency_metrics(facts: DataFrame, dim_agency: DataFrame) -> DataFrame:
+    """Requests without an agency drop out here; unordered."""
     owned = facts.join(dim_agency, "agency_id")
     metrics = [m for m in ALL_METRICS if m != "median_resolution_hours"]
     result = request_metrics(owned, ["agency_code"], metrics)
-    renamed = as_published(result).withColumnRenamed("open_count", "open_backlog")
-    return by_volume(renamed, "agency_code")
+    return as_published(result).withColumnRenamed("open_count", "open_backlog")
 
 
 def requests_by_day_of_week(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -110,10 +116,10 @@ def requests_by_day_of_week(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     return in_order(as_published(result), "day_of_week")
 
 
-def backlog_aging(facts: DataFrame, as_of: datetime) -> DataFrame:
+def backlog_aging(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Open requests in four age bands; a creation date ahead of now counts as youngest."""
     created = F.col("created_date")
-    d7, d30, d90 = (ntz(days_before(as_of, d)) for d in (7, 30, 90))
+    d7, d30, d90 = (before(as_of, d) for d in (7, 30, 90))
     bands = {
         "lt_7d": created > d7,
         "d7_to_30": (created <= d7) & (created > d30),
@@ -125,7 +131,7 @@ def backlog_aging(facts: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def all_views(gold: Gold, as_of: datetime) -> dict[str, DataFrame]:
+def all_views(gold: Gold, as_of: datetime | None) -> dict[str, DataFrame]:
     facts = gold.facts()
     dims = gold.dimensions()
     return {
@@ -142,8 +148,11 @@ def all_views(gold: Gold, as_of: datetime) -> dict[str, DataFrame]:
     }
 
 
-def register_views(gold: Gold, as_of: datetime) -> list[str]:
-    """Replace the session's temp views; called after every load."""
+def register_views(gold: Gold, as_of: datetime | None = None) -> list[str]:
+    """Replace the session's temp views; called after every load, batch or stream.
+
+    Without ``as_of`` each query of a view looks back from its own time.
+    """
     views = all_views(gold, as_of)
     for name, df in views.items():
         df.createOrReplaceTempView(name)

@@ -2,7 +2,8 @@
 
 The fact table is laid out as ``facts/created_month=<yyyy-MM>/load_id=<load>``.
 A load writes new folders only for the months it touches; which folder of a
-month is current stands in a one-row manifest appended as the very last step.
+month is current stands in a manifest named by its version; the load is published
+by appending its version and id to the log of loads as the very last step.
 Readers open exactly the current folders, so an unfinished load is never seen
 and repeating it is harmless.
 """
@@ -20,17 +21,12 @@ from pyspark.sql import types as T
 from ..functions.timeparts import month_of, ntz
 from ..operators.dimensions import DIMENSIONS, Dimension, new_members, with_ids
 from ..operators.keys import resolve_keys
-from ..operators.merge import merge_by_key
+from ..operators.merge import fold_by_key, merge_by_key
 from ..schemas import FACT
 from ..workspace import Workspace, concurrently, empty_table
 
-MANIFEST = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("load_id", T.StringType()),
-        T.StructField("months", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
+LOADS = T.StructType([T.StructField("version", T.LongType()), T.StructField("load_id", T.StringType())])
+MANIFEST = T.StructType([T.StructField("months", T.MapType(T.StringType(), T.StringType()))])
 STORED_FACT = T.StructType(
     FACT.fields
     + [T.StructField("created_month", T.StringType()), T.StructField("load_id", T.StringType())]
@@ -68,13 +64,20 @@ class Gold:
 
     # ---- facts ----
 
+    def _loads(self) -> DataFrame:
+        found = _read_or_none(self.spark, LOADS, "json", f"{self.root}/loads")
+        return found if found is not None else empty_table(self.spark, LOADS)
+
     def current_folders(self) -> tuple[int, dict[str, str]]:
         """Version and month -> load of the newest manifest (one entry per month)."""
-        manifests = _read_or_none(self.spark, MANIFEST, "json", f"{self.root}/manifest")
-        if manifests is None:
+        version = self._loads().agg(F.max("version")).first()[0] or 0
+        if not version:
             return 0, {}
-        row = manifests.agg(F.max_by(F.struct("version", "months"), "version").alias("m")).first()["m"]
-        return (row["version"], dict(row["months"])) if row else (0, {})
+        newest = self.spark.read.schema(MANIFEST).json(self._manifest(version))
+        return version, dict(newest.first()["months"])
+
+    def _manifest(self, version: int) -> str:
+        return f"{self.root}/manifest/{version:012d}"
 
     def _months(self, months: dict[str, str]) -> DataFrame:
         if not months:
@@ -103,8 +106,7 @@ class Gold:
         return [r[0] for r in located.select(home).distinct().collect()]
 
     def loaded(self, load_id: str) -> bool:
-        manifests = _read_or_none(self.spark, MANIFEST, "json", f"{self.root}/manifest")
-        return manifests is not None and not manifests.where(F.col("load_id") == load_id).isEmpty()
+        return not self._loads().where(F.col("load_id") == load_id).isEmpty()
 
     def upsert_facts(self, keyed: DataFrame, load_id: str, loaded_at: datetime) -> int:
         """Merge staged fact rows by key and switch the touched months; returns the batch size."""
@@ -130,8 +132,10 @@ class Gold:
             {"created_month": month_of(F.col("created_date")), "load_id": F.lit(load_id)}
         )
         (
-            # AQE sizes the files: large months are split, small ones share a task
+            # AQE sizes the files: large months are split, small ones share a task. Within a
+            # file rows lie by creation time, so row groups answer time windows.
             out.hint("rebalance", F.col("created_month"))
+            .sortWithinPartitions("created_month", "load_id", "created_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("created_month", "load_id")
@@ -141,14 +145,31 @@ class Gold:
         return size["n"]
 
     def _publish(self, version: int, load_id: str, months: dict[str, str]) -> None:
-        row = self.spark.createDataFrame([(version, load_id, months)], MANIFEST)
-        row.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
-
-
-def upsert(gold: Gold, silver: DataFrame, ws: Workspace, load_id: str, loaded_at: datetime) -> int:
-    """Dimensions first, then keys, then facts. A load already published is skipped."""
+        manifest = self.spark.createDataFrame([(months,)], MANIFEST).coalesce(1)
+        manifest.write.mode("overwrite").json(self._manifest(version))
+        load = self.spark.createDataFrame([(version, load_id)], LOADS).coalesce(1)
+        load.write.mode("append").json(f"{self.root}/loads")
+
+
+def upsert(
+    gold: Gold,
+    silver: DataFrame,
+    ws: Workspace,
+    load_id: str,
+    loaded_at: datetime,
+    order: str | None = None,
+) -> int:
+    """Fold rows of one key, then dimensions, keys, facts; returns the rows loaded.
+
+    Rows of a key are folded as if each were upserted in turn, by the column ``order`` or
+    else as they come. A load already published is skipped.
+    """
     if gold.loaded(load_id):
         return 0
+    if order is None:
+        order = "_order"
+        silver = silver.withColumn(order, F.monotonically_increasing_id())
+    silver = ws.stage(fold_by_key(silver, order), "folded")
     concurrently(gold.spark, *[partial(gold.append_new_members, dim, silver) for dim in DIMENSIONS])
     keyed = ws.stage(resolve_keys(silver, gold.dimensions()), "keyed")
     return gold.upsert_facts(keyed, load_id, loaded_at)

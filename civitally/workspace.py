@@ -7,6 +7,7 @@ back column-pruned and give Catalyst a true size for its join choice.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -19,18 +20,44 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _local_root: str | None = None
+_open: dict[str, SparkSession] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, else the session's
+    own checkpoint folder. A machine-local folder serves local masters only."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    chosen = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if chosen.isDefined():
+        return chosen.get().rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set spark.checkpoint.dir to a shared folder; master is {master}")
     global _local_root
-    if _local_root is None:  # unset: single-machine runs such as tests
+    if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="civitally-")
     return _local_root
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@atexit.register
+def _remove_open() -> None:
+    """Folders whose tables a lazy result may have read until now."""
+    for path, spark in _open.items():
+        try:
+            if spark.sparkContext._jsc is not None:
+                _remove(spark, path)
+        except Exception:  # the session has ended before us
+            return
+
+
 def local_table(spark: SparkSession, schema: T.StructType, columns: list[list]) -> DataFrame:
     """A small driver-side table as a local relation, so that Catalyst knows its size."""
     arrow = to_arrow_schema(schema)
@@ -46,12 +73,14 @@ class Workspace:
     """A private folder of staged tables for one job run.
 
     As a context manager it removes the folder once the job has succeeded; a
-    failed run leaves its tables for inspection.
+    failed run leaves its tables for inspection. Where a result is returned lazily
+    its folder must outlive the call and is removed when the process ends.
     """
 
     def __init__(self, spark: SparkSession, label: str = "job"):
         self.spark = spark
         self.path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+        _open[self.path] = spark
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         target = f"{self.path}/{name}"
@@ -62,11 +91,9 @@ class Workspace:
         return self
 
     def __exit__(self, failure, *_) -> None:
+        _open.pop(self.path, None)
         if failure is None:
-            jvm = self.spark.sparkContext._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(self.path)
-            files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            files.delete(folder, True)
+            _remove(self.spark, self.path)
 
 
 def concurrently(spark: SparkSession, *jobs: Callable[[], Any]) -> list:

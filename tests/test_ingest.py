@@ -9,7 +9,7 @@ from civitally.operators.extract import advance_watermark, changed_since
 from civitally.plans import jobs
 from civitally.plans.registry import _star
 from civitally.sources import adapters as src
-from civitally.sources.bronze import land_pages, read_pages, read_runs
+from civitally.sources.bronze import land_pages, read_pages
 from civitally.sources.gold import Gold
 from civitally.sources.state import choose_start, load_state, save_state
 from civitally.streaming.incremental import run_incremental
@@ -48,7 +48,7 @@ CASES = {
 def test_ingest_watermark_and_state(spark, tmp_path, case):
     start, data, want = CASES[case]
     source = spark.createDataFrame(data, DDL)
-    _, mark = jobs.ingest(source, f"{tmp_path}/bronze/x", f"{tmp_path}/state", LATER, start=start, page_rows=1)
+    _, mark = jobs.ingest(source, f"{tmp_path}/bronze/x", f"{tmp_path}/state", LATER, start=start, file_rows=1)
     assert mark == want and mark.tzinfo is None
     assert load_state(spark, f"{tmp_path}/state") == want
     state = json.loads(next(Path(f"{tmp_path}/state").glob("*.json")).read_text())
@@ -127,26 +127,39 @@ def test_pages_keep_order_skip_other_files_and_read_missing_texts(spark, tmp_pat
         (tmp_path / f"my day={day}").mkdir()
         (tmp_path / f"my day={day}" / "p.csv").write_text(body)
     (tmp_path / "metadata.json").write_text('{"a": 1}')
-    got = [(r["k"], r["v"], r["page"]) for r in read_pages(spark, str(tmp_path)).orderBy("row_order").collect()]
-    assert got == [("1", 'a "b",\nc', 0), ("2", None, 0), ("3", None, 1), ("4", "x", 1)]
+    rows = read_pages(spark, str(tmp_path)).orderBy("row_order").collect()
+    assert [(r["k"], r["v"]) for r in rows] == [("1", 'a "b",\nc'), ("2", None), ("3", None), ("4", "x")]
+    assert [r["page"][-16:] for r in rows] == ["2024-01-01/p.csv"] * 2 + ["2024-01-02/p.csv"] * 2
 
 
 def test_runs_with_other_headers_join_by_name(spark, tmp_path):
-    for name, body in (("a", "k,v\n1,x\n"), ("b", "v,w,k\ny,z,2\n")):
+    for name, body in (("a", "k,v\n1,x\n"), ("b", "v,w,k\ny,z,2\n"), ("b/inner", "w,k\nq,3\n")):
         (tmp_path / name).mkdir()
         (tmp_path / name / "p.csv").write_text(body)
-    df = read_runs(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])
-    assert [tuple(r) for r in df.select("k", "v", "w").orderBy("row_order").collect()] == [("1", "x", None), ("2", "y", "z")]
-    with pytest.raises(Exception):  # one read never mixes up columns silently
-        read_pages(spark, str(tmp_path)).collect()
+    df = read_pages(spark, str(tmp_path))
+    got = [tuple(r) for r in df.select("k", "v", "w").orderBy("row_order").collect()]
+    assert got == [("1", "x", None), ("2", "y", "z"), ("3", None, "q")]
+    (tmp_path / "a" / "q.csv").write_text("v,k\n1,x\n")
+    with pytest.raises(Exception):  # one folder never mixes up columns silently
+        read_pages(spark, f"{tmp_path}/a").collect()
 
 
-def test_page_size_and_newest_first(spark, tmp_path):
+def test_file_size_and_newest_first(spark, tmp_path):
     df = spark.range(25).selectExpr("cast(id as string) unique_key", "concat('2024-01-', lpad(id + 1, 2, '0')) created_date")
-    pages = land_pages(df, f"{tmp_path}/bronze", datetime(2024, 1, 1), page_rows=4)
-    back = read_pages(spark, pages)
-    assert back.groupBy("page").count().agg(F.max("count")).first()[0] <= 4
+    pages = land_pages(df, f"{tmp_path}/bronze", datetime(2024, 1, 1), file_rows=4)
+    sizes = [len(p.read_text().splitlines()) - 1 for p in Path(pages).glob("*.csv")]
+    assert max(sizes) <= 4 and sum(sizes) == 25
+    back = read_pages(spark, pages, page_rows=10)
     assert [int(r["unique_key"]) for r in back.orderBy("row_order").collect()] == list(range(24, -1, -1))
+    assert sorted(r["count"] for r in back.groupBy("page").count().collect()) == [5, 10, 10]
+
+
+def test_landed_cells_are_verbatim(spark, tmp_path):
+    cells = [" lead", "trail ", "  ", "\ttab\t", 'q"uo"te', "a,b", "two\nlines", "cr\r\nlf", "", None, '"', "\\"]
+    df = spark.createDataFrame([(str(i), f"2024-01-{i + 1:02d}", c) for i, c in enumerate(cells)], "unique_key string, created_date string, v string")
+    back = read_pages(spark, land_pages(df, f"{tmp_path}/b", datetime(2024, 1, 1)))
+    got = {int(r["unique_key"]): r["v"] for r in back.collect()}
+    assert [got[i] for i in range(len(cells))] == [c or None for c in cells]
 
 
 def test_stream_equals_batch_and_restart_is_idle(spark, tmp_path):
@@ -158,7 +171,7 @@ def test_stream_equals_batch_and_restart_is_idle(spark, tmp_path):
 
     def run():
         return run_incremental(
-            spark, bronze, f"{tmp_path}/gold", f"{tmp_path}/cp", text.columns, src.DENSE_AS_OF, max_files=1
+            spark, bronze, f"{tmp_path}/gold", f"{tmp_path}/cp", src.DENSE_AS_OF, max_files=1
         )
 
     assert run() == 3
@@ -168,9 +181,9 @@ def test_stream_equals_batch_and_restart_is_idle(spark, tmp_path):
     assert sorted(map(tuple, Gold(spark, f"{tmp_path}/gold").facts().drop("created_month").collect()), key=str) == before
 
     # a new checkpoint replays every page under new load ids and changes nothing
-    ids = {r[0].rsplit("-", 1)[0] for r in spark.read.json(f"{tmp_path}/gold/manifest").select("load_id").collect()}
+    ids = {r[0].rsplit("-", 1)[0] for r in spark.read.json(f"{tmp_path}/gold/loads").select("load_id").collect()}
     assert len(ids) == 1 and "None" not in ids
-    again = run_incremental(spark, bronze, f"{tmp_path}/gold", f"{tmp_path}/cp2", text.columns, src.DENSE_AS_OF)
+    again = run_incremental(spark, bronze, f"{tmp_path}/gold", f"{tmp_path}/cp2", src.DENSE_AS_OF)
     assert again == 1
     assert sorted(map(tuple, Gold(spark, f"{tmp_path}/gold").facts().drop("created_month").collect()), key=str) == before
 
@@ -183,7 +196,7 @@ def test_stream_equals_batch_and_restart_is_idle(spark, tmp_path):
 
 def test_silver_scopes(spark, tmp_path):
     full = src.as_text(src.history(spark, "/root/testdata/sf0.001"))
-    pages = land_pages(full, f"{tmp_path}/bronze/s", datetime(1990, 1, 1), page_rows=200)
+    pages = land_pages(full, f"{tmp_path}/bronze/s", datetime(1990, 1, 1), file_rows=200)
     n = full.count()
     for scope in ("batch", "page"):
         silver = spark.read.parquet(jobs.build_silver(spark, pages, scope))
@@ -191,3 +204,48 @@ def test_silver_scopes(spark, tmp_path):
         assert silver.where("city is null or address_type is null or location_type is null").isEmpty()
     with pytest.raises(ValueError):
         jobs.build_silver(spark, pages, "planet")
+
+
+def test_page_scope_does_not_depend_on_files(spark, tmp_path):
+    full = src.as_text(src.history(spark, "/root/testdata/sf0.001"))
+    found = []
+    for i, file_rows in enumerate((170, 100_000)):
+        pages = land_pages(full, f"{tmp_path}/bronze/s{i}", datetime(1990, 1, 1), file_rows=file_rows)
+        silver = spark.read.parquet(jobs.build_silver(spark, pages, "page", page_rows=100))
+        found.append(sorted(map(str, silver.collect())))
+    assert found[0] == found[1]
+
+
+def test_stream_does_not_depend_on_batch_size(spark, tmp_path):
+    """Two runs with gaps and late closures; files hold whole pages."""
+    full = src.history(spark, "/root/testdata/sf0.001")
+    bronze = f"{tmp_path}/bronze/d"
+    for source, start in ((src.snapshot(full, src.HISTORY_CUT), datetime(1990, 1, 1)), (changed_since(full, src.HISTORY_CUT), src.HISTORY_CUT)):
+        land_pages(src.as_text(source), bronze, start, file_rows=300)
+    found = []
+    for n in (1, 3, 1000):
+        run_incremental(spark, bronze, f"{tmp_path}/g{n}", f"{tmp_path}/cp{n}", src.HISTORY_AS_OF, max_files=n, page_rows=100)
+        star = _star(Gold(spark, f"{tmp_path}/g{n}"))
+        cols = [c for c in star.columns if not c.endswith("_id")]
+        found.append(sorted(map(str, star.select(*cols).collect())))
+    assert found[0] == found[1] == found[2]
+    closed = full.where("closed_date is not null").count()
+    assert sum("is_closed=True" in r for r in found[0]) == closed
+
+
+def test_views_move_with_the_clock_and_see_the_stream(spark, tmp_path):
+    now = spark.sql("select convert_timezone(current_timezone(), 'America/New_York', localtimestamp())").first()[0]
+    base = src.as_text(src.with_required_columns(src.dense(spark, "/root/testdata/sf0.001")).limit(3))
+    keyed = base.withColumn("unique_key", F.monotonically_increasing_id().cast("string"))
+    bronze = f"{tmp_path}/bronze/d"
+
+    def land(days, run):
+        rows = keyed.withColumn("created_date", F.lit((now - timedelta(days=days)).isoformat(timespec="seconds")))
+        rows = rows.withColumns({"closed_date": F.lit(None).cast("string"), "unique_key": F.concat(F.lit(str(days)), "unique_key")})
+        land_pages(rows, bronze, datetime(2024, 1, run))
+        run_incremental(spark, bronze, f"{tmp_path}/g", f"{tmp_path}/cp", now)
+        return spark.table("v_requests_7d").first()["total_count"]
+
+    assert land(1, 1) == 3
+    assert land(20, 2) == 3  # outside the window
+    assert land(2, 3) == 6

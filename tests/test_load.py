@@ -1,4 +1,5 @@
 from datetime import datetime
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,42 @@ def test_snapshot_fixture(spark):
 
 def test_silver_path():
     assert jobs.silver_path("s/bronze/daily/bronze/x") == "s/silver/daily/bronze/x/requests.parquet"
+
+
+def test_repeated_keys_in_one_load_are_folded(silver, load):
+    """As if the rows had come one after the other."""
+    rows = [
+        request(1, "2024-01-01 00:00:00", None, "A", "Open"),
+        request(1, "2024-01-01 00:00:00", "2024-01-02 00:00:00", "B", "Closed"),
+        request(1, "2024-01-01 00:00:00", None, None, "Reopened"),
+        request(2, "2024-02-01 00:00:00"),
+    ]
+    assert load(silver(*rows).coalesce(1), "a") == 2
+    one, two = sorted(_star(load.gold).collect(), key=lambda r: r["unique_key"])
+    assert (one["agency_code"], one["status"], one["is_closed"]) == ("A", "Reopened", False)
+    assert str(one["closed_date"]) == "2024-01-02 00:00:00" and float(one["resolution_time_in_hours"]) == 24.0
+    assert {r["agency_code"] for r in load.gold.dimension(DIMENSIONS[1]).collect()} == {"A"}
+    load(silver(*rows[:2]).coalesce(1), "b")
+    assert len(table(load.gold)) == 2
+
+
+def test_months_are_sorted_for_time_windows(spark, silver, load, tmp_path):
+    load(silver(*[request(i, f"2024-01-{1 + (i * 7) % 28:02d} 00:00:00") for i in range(60)]), "a")
+    for path in tmp_path.glob("gold/facts/created_month=*/load_id=*/*.parquet"):
+        dates = [r[0] for r in spark.read.parquet(str(path)).select("created_date").collect()]
+        assert dates == sorted(dates)
+
+
+def test_no_local_folder_on_a_cluster():
+    from civitally import workspace
+
+    elsewhere = MagicMock()
+    elsewhere.conf.get.return_value = None
+    elsewhere.sparkContext.master = "spark://host:7077"
+    chosen = elsewhere.sparkContext._jsc.sc.return_value.getCheckpointDir.return_value
+    chosen.isDefined.return_value = False
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_root(elsewhere)
+    chosen.isDefined.return_value = True
+    chosen.get.return_value = "hdfs://x/y/"
+    assert workspace.shared_root(elsewhere) == "hdfs://x/y"
