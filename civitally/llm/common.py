@@ -21,6 +21,16 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def whole_rows(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """Each row as one struct ``row`` beside further columns, so that no names can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *more)
+
+
+def unwrapped(rows: DataFrame) -> DataFrame:
+    """The rows that ``whole_rows`` wrapped."""
+    return rows.select("row.*")
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """Identify a document where ids may repeat or be null: its id and its text's hash."""
     return [F.col(doc_id), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key")]

@@ -21,9 +21,10 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..workspace import Workspace
-from .common import ASCII_LOWER, utf8
+from .common import ASCII_LOWER, unwrapped, utf8, whole_rows
 
 WINDOW = 10
 PASS_WORDS = 50_000
@@ -147,8 +148,8 @@ def _scan(docs: DataFrame, matcher: Matcher) -> DataFrame:
                 [part[f.name] for f in carried] + more, names=[f.name for f in carried] + _FOUND.names
             )
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in carried)
-    return docs.mapInArrow(run, f"{kept}n_words long, spans array<long>, items array<string>")
+    schema = T.StructType(list(carried)).add("n_words", T.LongType()).add("spans", T.ArrayType(T.LongType()))
+    return docs.mapInArrow(run, schema.add("items", T.ArrayType(T.StringType())))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataFrame:
@@ -184,8 +185,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataF
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataFrame:
-    """Rows of ``docs`` without a benchmark window, columns unchanged."""
-    clash = [c for c in docs.columns if c in (*_FOUND.names, "__utf8")]
-    if clash:
-        raise ValueError(f"reserved column names: {clash}")
-    return search(docs, benchmark, ws).where(F.size("spans") == 0).select(*docs.columns)
+    """Rows of ``docs`` without a benchmark window, whatever columns they have."""
+    return unwrapped(search(whole_rows(docs, "text"), benchmark, ws).where(F.size("spans") == 0))

@@ -8,7 +8,7 @@ sampled texts into bucket counts, so the driver holds counts, never texts.
 
 A fifth of the sample is kept back: on it the softmax temperature is fitted and the
 rejection threshold is set so that at most ``FALSE_REJECT`` of the rightly named rows fall
-below it. Scores are the calibrated probability of the language named.
+below it, and never above ``SURE``. Scores are the calibrated probability of the language.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import record_batch, utf8
+from .common import record_batch, unwrapped, utf8, whole_rows
 
 BUCKETS = 8192
 DIM = 24
@@ -32,6 +33,7 @@ BATCH = 32
 RATE = 40.0
 SNIPPET_WORDS = 8
 FALSE_REJECT = 0.002
+SURE = 0.5
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 4, 2
 _CHUNK = 1 << 18
@@ -190,8 +192,9 @@ def _calibrated(model: Model, rows: list, label: np.ndarray, check: np.ndarray)
     model.temperature = min(np.geomspace(0.2, 5, 33), key=loss)
     p = p_at(model.temperature)
     right = np.sort(p.max(1)[p.argmax(1) == truth])
-    if len(right):
-        model.threshold = float(right[int(FALSE_REJECT * len(right))])
+    below = int(FALSE_REJECT * (len(right) + 1))
+    if below:  # too few rows to tell where so few of them lie: nothing is rejected by score
+        model.threshold = min(float(right[below - 1]), SURE)
     return model
 
 
@@ -229,8 +232,10 @@ def _name(docs: DataFrame, model: Model, carried: list[str]) -> DataFrame:
                 names=[*carried, "lang_pred", "score", "rejected"],
             )
 
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name in carried)
-    return docs.mapInArrow(run, f"{kept}lang_pred string, score double, rejected boolean")
+    schema = T.StructType([f for f in docs.schema if f.name in carried])
+    for name, kind in (("lang_pred", T.StringType()), ("score", T.DoubleType()), ("rejected", T.BooleanType())):
+        schema = schema.add(name, kind)
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -244,9 +249,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of ``docs`` whose language is recognised, columns unchanged."""
-    clash = [c for c in docs.columns if c in ("lang_pred", "score", "rejected", "__utf8")]
-    if clash:
-        raise ValueError(f"reserved column names: {clash}")
-    named = _name(docs.withColumn("__utf8", utf8()), model, docs.columns)
-    return named.where("not rejected").select(*docs.columns)
+    """Rows of ``docs`` whose language is recognised, whatever columns they have."""
+    named = _name(whole_rows(docs, utf8().alias("__utf8")), model, ["row"])
+    return unwrapped(named.where("not rejected"))

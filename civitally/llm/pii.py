@@ -27,6 +27,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import whole_rows
+
 # Base formats, in the order of kinds.
 _LOCAL = "A-Za-z0-9._%+-"
 BASE = {
@@ -306,10 +308,7 @@ def redact(docs: DataFrame) -> DataFrame:
     Spans that overlap are replaced together, under the first one's name. Columns and
     rows stay as they are; a null text stays null.
     """
-    clash = [c for c in docs.columns if c in ("pii", "pii_base") or c.startswith("__")]
-    if clash:
-        raise ValueError(f"reserved column names: {clash}")
-    rows = spans(docs, accepted_cells(docs))
+    rows = spans(whole_rows(docs, "text"), accepted_cells(docs))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -322,14 +321,15 @@ def redact(docs: DataFrame) -> DataFrame:
     done = F.aggregate(
         "pii", zero, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text")))
     )
-    rows = rows.withColumn("__new", F.when(F.size("pii") > 0, done).otherwise(F.col("text")))
     changed = F.size("pii") > 0
-    out = [
-        F.col("__new").alias("text")
-        if c == "text"
-        else F.when(changed, F.length("__new").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-        if c == "n_chars"
-        else F.col(c)
-        for c in docs.columns
-    ]
-    return rows.select(*out)
+    rows = rows.withColumns({"new": F.when(changed, done).otherwise(F.col("text")), "changed": changed})
+
+    def column(name: str) -> Column:
+        old = F.col("row")[name]
+        if name == "text":
+            return F.col("new").alias(name)
+        if name == "n_chars":
+            return F.when(F.col("changed"), F.length("new").cast(docs.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+
+    return rows.select(*[column(c) for c in docs.columns])

@@ -27,6 +27,7 @@ MIN_WORDS = 50
 SUPPORT = 0.6
 STEPS = 4
 MIN_GROUP = 100
+SENT_GROUPS = 10_000  # about a megabyte of estimates
 UNIT = 1024
 BINS = 64
 
@@ -135,8 +136,16 @@ def _start(stats: DataFrame) -> DataFrame:
     return found.select("group", *[v.alias(k) for k, v in columns.items()])
 
 
+def _sent(small: DataFrame) -> DataFrame:
+    """A staged table of one row per group, sent to all tasks if it has few rows.
+
+    Otherwise it is joined by Spark's own choice.
+    """
+    return F.broadcast(small) if small.limit(SENT_GROUPS + 1).count() <= SENT_GROUPS else small
+
+
 def _binned(stats: DataFrame, parameters: DataFrame) -> DataFrame:
-    return stats.join(parameters, "group").withColumn(
+    return stats.join(_sent(parameters), "group").withColumn(
         "bin", F.floor(BINS * F.log2(1 + _distance())).cast("int")
     )
 

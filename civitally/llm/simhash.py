@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import Workspace
-from .common import ASCII_LOWER, record_batch, row_key, utf8
+from .common import ASCII_LOWER, record_batch, row_key, unwrapped, utf8, whole_rows
 from .components import components
 
 SEED = 42
@@ -188,10 +188,6 @@ def keep_one_per_group(docs: DataFrame, ws: Workspace) -> DataFrame:
         F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")
     ).select("k.*")
     chosen = ws.stage(chosen.distinct(), "chosen")
-    keyed = docs.withColumn("__text_key", row_key()[1])
-    kept = keyed.join(
-        chosen,
-        keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed["__text_key"] == chosen["text_key"]),
-        "left_semi",
-    )
-    return kept.dropDuplicates(["doc_id", "__text_key"]).select(*docs.columns)
+    keyed = whole_rows(docs, *row_key())
+    same = keyed["doc_id"].eqNullSafe(chosen["doc_id"]) & (keyed["text_key"] == chosen["text_key"])
+    return unwrapped(keyed.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "text_key"]))
