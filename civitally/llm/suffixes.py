@@ -43,9 +43,10 @@ GRAM = 40
 PLACES = LENGTH - GRAM + 1
 HOT = 2000
 CHUNK = 1 << 18
-RUN_BYTES = 24 << 20
-BUCKET_ANCHORS = 1_000_000
-BUCKET_SPANS = 100_000
+PART_BYTES = 8 << 20
+RUN_BYTES = 12 << 20
+BUCKET_ANCHORS = 250_000
+BUCKET_SPANS = 60_000
 LAST_ID = 2**63 - 1
 
 np.seterr(over="ignore")
@@ -124,6 +125,22 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes, l
         yield numbers, offsets, b"".join(held), ends
 
 
+def text_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[bytes, bytes]]:
+    """Texts by digest, copies once, about ``PART_BYTES`` at a time."""
+    for batch in batches:
+        texts: dict[bytes, bytes] = {}
+        size = 0
+        for digest, text in zip(batch["digest"], batch["text"]):
+            text = text.as_py()
+            texts[digest.as_py()] = text
+            size += len(text)
+            if size >= PART_BYTES:
+                yield texts
+                texts, size = {}, 0
+        if texts:
+            yield texts
+
+
 # ---- 1: anchors that occur twice ---------------------------------------------------------
 
 _ANCHORS_DDL = "bucket int, hashes binary, twice binary, docs binary, digests binary"
@@ -132,8 +149,7 @@ _ANCHORS = pa.schema([("bucket", pa.int32())] + [(n, pa.binary()) for n in ("has
 
 def _anchor_rows(docs: DataFrame, buckets: int) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            texts = dict(zip(part["digest"].to_pylist(), part["text"].to_pylist()))  # copies once
+        for texts in text_parts(parts):
             digests, found = list(texts), []
             for numbers, _, data, ends in _chunks(list(texts.values())):
                 doc, anchor, _, _ = spans_of(data, ends)
@@ -240,6 +256,11 @@ def _runs(docs: DataFrame, buckets: int) -> DataFrame:
     """Runs of the spans of repeated anchors; ``docs`` has id, digest, text, anchors, hots."""
 
     def entries_of(part: pa.RecordBatch) -> Iterator[Entry]:
+        step = max(1, len(part) * PART_BYTES // max(1, part["text"].nbytes))
+        for at in range(0, len(part), step):
+            yield from entries_of_slice(part.slice(at, step))
+
+    def entries_of_slice(part: pa.RecordBatch) -> Iterator[Entry]:
         texts = part["text"].to_pylist()
         ids, digests = part["id"].to_pylist(), part["digest"].to_pylist()
         known = []
@@ -451,6 +472,14 @@ def _kept(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def once(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The chosen texts (``digest, id`` and more), one row each though rows may repeat.
+
+    The join has dealt rows by these columns, so that telling them apart moves nothing.
+    """
+    return rows.select("id", "digest", "text").join(chosen, ["digest", "id"]).dropDuplicates(["digest", "id"])
+
+
 def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``docs``.
 
@@ -474,20 +503,17 @@ def remove_repeats(docs: DataFrame, ws: Workspace) -> DataFrame:
     todo = again.groupBy("digest").agg(F.collect_list("anchor").alias("anchors"), F.collect_list("hot").alias("hots"))
     todo = ws.stage(todo.join(firsts.select("digest", "id"), "digest"), "todo")
 
-    span_buckets = max(1, -(-again.count() // BUCKET_SPANS))
-    wide = rows.select("id", "digest", "text").join(todo, ["digest", "id"])
-    runs = ws.stage(_runs(wide, span_buckets), "runs")
+    entries = again.agg(F.sum(F.when(F.col("hot"), LENGTH // 3).otherwise(1))).first()[0] or 0
+    span_buckets = max(1, -(-entries // BUCKET_SPANS))
+    runs = ws.stage(_runs(once(rows, todo), span_buckets), "runs")
     spread = F.when(F.col("bucket") == REMOVED, F.spark_partition_id()).otherwise(F.lit(-1))
     ranges = runs.groupBy("bucket", spread.alias("spread")).applyInPandas(
         _merge_bucket, "digest binary, start long, size long"
     )
     by_doc = ranges.groupBy("digest").agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes"))
     cuts = ws.stage(by_doc.join(firsts.select("digest", "id"), "digest"), "cuts")
-    found = rows.select("id", "digest", "text").join(cuts, ["digest", "id"]).select("digest", "text", "starts", "sizes")
-    answers = ws.stage(
-        found.mapInArrow(_kept, "digest binary, n_removed long, n_spans long, kept string").dropDuplicates(["digest"]),
-        "answers",
-    )
+    found = once(rows, cuts).select("digest", "text", "starts", "sizes")
+    answers = ws.stage(found.mapInArrow(_kept, "digest binary, n_removed long, n_spans long, kept string"), "answers")
 
     plain = docs.select(
         "doc_id", order, digest, F.octet_length(utf8()).cast("long").alias("n_bytes"), F.sha2(utf8(), 256).alias("sha")

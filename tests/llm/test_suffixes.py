@@ -50,6 +50,8 @@ def mixed():
     rows += [(200, "a" * 350), (201, "ab" * 200), (202, "x" * 50 + "ab" * 120), (203, rows[5][1]), (4, rows[9][1]), (204, "a" * 99)]
     rows += [(205, "hello " * 300), (None, rows[7][1]), (None, word(200)), (206, rows[11][1] + rows[11][1]), (206, rows[11][1] + rows[11][1])]
     rows += [(207, None), (208, ""), (209, word(3000) * 2)]
+    new = word(300)  # a document that comes as two rows keeps what a later one repeats
+    rows += [(210, new), (210, new), (211, word(20) + new)]
     return rows
 
 
