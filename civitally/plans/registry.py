@@ -381,9 +381,9 @@ def silver_mixed_headers(spark: SparkSession, d: str) -> DataFrame:
 
 def load_folds_repeats(spark: SparkSession, d: str) -> DataFrame:
     """One load that holds early and late rows of a request stores it once."""
-    full = src.with_metrics_columns(src.with_required_columns(src.dense(spark, d)))
-    early = src.with_metrics_columns(src.snapshot(src.with_required_columns(src.dense(spark, d)), B_CUT))
-    late = full.where("closed_date is not null or unique_key % 3 = 0").withColumn("agency", F.lit("late"))
+    requests = cast_columns(src.with_required_columns(src.dense(spark, d)))
+    early = src.with_metrics_columns(src.snapshot(requests, B_CUT))
+    late = src.with_metrics_columns(requests).where("closed_date is not null or unique_key % 3 = 0").withColumn("agency", F.lit("late"))
     both = early.withColumn("turn", F.lit(1)).unionByName(late.withColumn("turn", F.lit(2)))
     ws = Workspace(spark, "fold")
     gold = Gold(spark, f"{ws.path}/gold")
