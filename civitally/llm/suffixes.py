@@ -104,7 +104,8 @@ def spans_of(data: bytes, ends: list[int]) -> tuple[np.ndarray, ...]:
     keep = valid[first]
     first, size = first[keep], size[keep]
     doc = doc[first]
-    return doc, least[first], first - np.r_[0, ends_[:-1]][doc], size
+    # least hashes are small numbers; an odd factor spreads them over the buckets again
+    return doc, least[first] * np.uint64(_BASE), first - np.r_[0, ends_[:-1]][doc], size
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], bytes, list[int]]]:
