@@ -5,12 +5,14 @@ text slots; a wrapper is a union-free regular expression over such tokens: plain
 optional groups ``?`` and repeated groups ``+``. Inference folds streams into a wrapper:
 neighbouring repeats become a repeated group, and where wrapper and stream disagree the
 parts that only one side has become optional groups. Texts become slots, addressed by the
-chain of elements open around them. From the wrapper and from how much text and link text
-each slot holds over the whole host, slots are declared main text or surroundings; pages
-are then read through the declarations of their host.
+chain of elements open around them. A host may have several templates: pages whose text
+lies in the same marked elements (``article``, ``main``, names such as ``content``), and
+for the most part in the same ones, are one variant. From how much text and link text each slot holds over the pages of a variant,
+slots are declared main text or surroundings; pages are then read through the declarations
+of their variant. Pages without a host have no template in common and are read alone.
 
 Folding is associative enough to be done as a tree: equal streams are merged first by a
-map-side combined count, then at most ``FAN_IN`` of a host meet in a task, level by level,
+map-side combined count, then at most ``FAN_IN`` of a variant meet in a task, level by level,
 so a host that holds a third of all pages never meets in one task.
 """
 
@@ -21,6 +23,7 @@ import json
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -32,6 +35,7 @@ from ..workspace import Workspace
 FAN_IN = 64
 MAX_PERIOD = 12
 LINKS = 0.6
+SHARE = 0.5
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -261,6 +265,7 @@ def _parts(step: str) -> tuple[str, set[str], set[str]]:
     return name, words, {n[1:].lower() for n in names if n[0] == "~"}
 
 
+@lru_cache(100_000)
 def surrounds(step: str) -> bool:
     name, words, roles = _parts(step)
     if name in ("html", "body", "article", "main"):
@@ -268,8 +273,9 @@ def surrounds(step: str) -> bool:
     return name in SURROUNDINGS or bool(words & NAMES_AROUND) or bool(roles & ROLES_AROUND)
 
 
+@lru_cache(100_000)
 def holds_main(step: str) -> int:
-    """How surely an element is the page's main part: 0 for not at all."""
+    """Which mark of the main part an element bears: article 3, main 2, a name 1, none 0."""
     name, words, roles = _parts(step)
     if name == "article":
         return 3
@@ -278,18 +284,42 @@ def holds_main(step: str) -> int:
     return int(name in ("div", "section", "td") and bool(words & NAMES_MAIN))
 
 
-def declare(slots: dict[str, tuple[int, int]]) -> dict[str, bool]:
-    """Which slots (text and link characters by path) of a host are main text."""
-    inner = {p: c for p, c in slots.items() if not any(map(surrounds, p.split("/")))}
-    level = {p: max(map(holds_main, p.split("/"))) for p in inner}
-    best = max((v for p, v in level.items() if sum(inner[p])), default=0)
-    main = {}
+def _narrowed(slots: dict) -> tuple[list[int], set[str]]:
+    """The marks that the main part narrows to, and its slots.
+
+    It narrows to marked elements only where these hold ``SHARE`` of its text, so that
+    teasers in an ``article`` do not push out the text beside them.
+    """
+    main = {p for p in slots if not any(map(surrounds, p.split("/")))}
+    used: list[int] = []
+    for mark in (2, 3, 1):  # a main may hold articles; a name tells less than an element
+        if mark == 1 and used:
+            break
+        marked = {p for p in main if any(holds_main(step) == mark for step in p.split("/"))}
+        if marked and sum(slots[p][0] for p in marked) >= SHARE * sum(slots[p][0] for p in main):
+            main = marked
+            used.append(mark)
+    return used, main
+
+
+def variant(slots: dict) -> str:
+    """What tells the templates of a host apart: the marked elements that hold a page's text, and
+    which of them hold most of it."""
+    used, _ = _narrowed(slots)
+    found = set()
     for p in slots:
-        main[p] = p in inner and level[p] >= best if best else p in inner
-        if main[p] and not best:  # no marked part: lists of links are menus
-            text, link = inner[p]
-            main[p] = link <= LINKS * (text + link)
-    return main
+        steps = p.split("/")
+        if not any(map(surrounds, steps)):
+            found.update("/".join(steps[: i + 1]) for i, step in enumerate(steps) if holds_main(step))
+    return json.dumps([used, sorted(found)])
+
+
+def declare(slots: dict[str, tuple[int, int]]) -> dict[str, bool]:
+    """Which slots (text and link characters by path) of a variant are main text."""
+    used, main = _narrowed(slots)
+    if not used:  # lists of links outside of marked parts are menus
+        main = {p for p in main if any(map(holds_main, p.split("/"))) or slots[p][1] <= LINKS * sum(slots[p])}
+    return {p: p in main for p in slots}
 
 
 def main_text(page: str, main: dict[str, bool]) -> str:
@@ -322,20 +352,21 @@ def host(url: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-_SEEN = pa.schema([("host", pa.string()), ("slot", pa.bool_()), ("key", pa.string()), ("text", pa.int64()), ("link", pa.int64())])
+_SEEN = pa.schema([("host", pa.string()), ("variant", pa.string()), ("slot", pa.bool_()), ("key", pa.string()), ("text", pa.int64()), ("link", pa.int64())])
 
 
 def _seen(pages: DataFrame) -> DataFrame:
-    """Distinct streams and the slot sums of every host."""
+    """Distinct streams and the slot sums of every variant."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             sums: dict[tuple, list[int]] = {}
             for name, page in zip(part["host"].to_pylist(), part["html"]):
                 found, slots = stream(page.as_py())
-                sums.setdefault((name, False, json.dumps(found)), [0, 0])
+                kind = variant(slots)
+                sums.setdefault((name, kind, False, json.dumps(found)), [0, 0])
                 for path, (text, link) in slots.items():
-                    held = sums.setdefault((name, True, path), [0, 0])
+                    held = sums.setdefault((name, kind, True, path), [0, 0])
                     held[0] += text
                     held[1] += link
             rows = [(*k, *v) for k, v in sums.items()]
@@ -343,24 +374,24 @@ def _seen(pages: DataFrame) -> DataFrame:
                 [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SEEN)], schema=_SEEN
             )
 
-    rows = pages.mapInArrow(run, "host string, slot boolean, key string, text long, link long")
-    return rows.groupBy("host", "slot", "key").agg(F.sum("text").alias("text"), F.sum("link").alias("link"))
+    rows = pages.mapInArrow(run, "host string, variant string, slot boolean, key string, text long, link long")
+    return rows.groupBy("host", "variant", "slot", "key").agg(F.sum("text").alias("text"), F.sum("link").alias("link"))
 
 
 def _merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     streams = [json.loads(k) for k in sorted(frame["key"])]
-    return pd.DataFrame({"host": [key[0]], "key": [json.dumps(infer(streams))]})
+    return pd.DataFrame({"host": [key[0]], "variant": [key[1]], "key": [json.dumps(infer(streams))]})
 
 
 def wrappers(seen: DataFrame, ws: Workspace) -> DataFrame:
-    """``host, key``: one wrapper per host, as JSON."""
-    left, level = seen.where("not slot").select("host", "key"), 0
+    """``host, variant, key``: one wrapper per variant, as JSON."""
+    left, level = seen.where("not slot").select("host", "variant", "key"), 0
     while True:
-        sizes = left.groupBy("host").agg(F.count("*").alias("n"))
+        sizes = left.groupBy("host", "variant").agg(F.count("*").alias("n"))
         most = sizes.agg(F.max("n")).first()[0] or 0
         groups = F.ceil(F.col("n") / FAN_IN).cast("int")
-        dealt = left.join(sizes, "host").withColumn("group", F.pmod(F.xxhash64("key", F.lit(level)), groups))
-        merged = dealt.groupBy("host", "group").applyInPandas(_merge, "host string, key string")
+        dealt = left.join(sizes, ["host", "variant"]).withColumn("group", F.pmod(F.xxhash64("key", F.lit(level)), groups))
+        merged = dealt.groupBy("host", "variant", "group").applyInPandas(_merge, "host string, variant string, key string")
         left, level = ws.stage(merged, f"wrappers-{level}"), level + 1
         if most <= FAN_IN:
             return left
@@ -372,15 +403,28 @@ def _declared(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         for path in wrapper_slots(json.loads(wrapper)):
             slots.setdefault(path, (0, 0))
     main = sorted(p for p, is_main in declare(slots).items() if is_main)
-    return pd.DataFrame({"host": [key[0]], "main": [json.dumps(main)]})
+    return pd.DataFrame({"host": [key[0]], "variant": [key[1]], "main": [json.dumps(main)]})
 
 
 def declarations(pages: DataFrame, ws: Workspace) -> DataFrame:
-    """``host, main``: the main slots of each host, from all its pages."""
+    """``host, variant, main``: the main slots of each variant, from all its pages."""
     seen = ws.stage(_seen(pages), "seen")
-    found = wrappers(seen, ws).select("host", F.lit(False).alias("slot"), "key", F.lit(0).alias("text"), F.lit(0).alias("link"))
+    found = wrappers(seen, ws).select(
+        "host", "variant", F.lit(False).alias("slot"), "key", F.lit(0).alias("text"), F.lit(0).alias("link")
+    )
     both = seen.where("slot").unionByName(found)
-    return ws.stage(both.groupBy("host").applyInPandas(_declared, "host string, main string"), "declared")
+    main = both.groupBy("host", "variant").applyInPandas(_declared, "host string, variant string, main string")
+    return ws.stage(main, "declared")
+
+
+_TAGGED_DDL = "page_id long, url string, html string, host string, variant string"
+
+
+def _tagged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with their variant; none without a host."""
+    for part in parts:
+        kinds = [variant(stream(p.as_py())[1]) if h else None for h, p in zip(part["host"].to_pylist(), part["html"])]
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(kinds, pa.string())], [*part.schema.names, "variant"])
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
@@ -389,27 +433,31 @@ _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.st
 def extract(pages: DataFrame, ws: Workspace) -> DataFrame:
     """``page_id, url, text, n_chars`` per row of ``pages``.
 
-    Null and empty pages have no text. Pages without an address share a nameless host.
+    Null and empty pages have no text. Pages without an address are read one by one.
     Broken markup is read leniently: what is left open ends with its parent. Repeated
     rows are read each, an empty table gives no rows, further columns are ignored.
     """
     rows = pages.select("page_id", "url", host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    known = declarations(rows.select("host", "html"), ws)
+    known = declarations(rows.where("host <> ''").select("host", "html"), ws)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, dict[str, bool]] = {}
         for part in parts:
             texts = []
             for declared, page in zip(part["main"].to_pylist(), part["html"]):
+                if declared is None:
+                    texts.append(main_text(page.as_py(), declare(stream(page.as_py())[1])))
+                    continue
                 if declared not in cache:
                     if len(cache) > 1000:
                         cache.clear()
-                    cache[declared] = dict.fromkeys(json.loads(declared or "[]"), True)
+                    cache[declared] = dict.fromkeys(json.loads(declared), True)
                 texts.append(main_text(page.as_py(), cache[declared]))
             yield pa.RecordBatch.from_arrays(
                 [part["page_id"], part["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 schema=_TEXT,
             )
 
-    read = rows.join(known, "host", "left").select("page_id", "url", "html", "main")
+    tagged = rows.select("page_id", "url", "html", "host").mapInArrow(_tagged, _TAGGED_DDL)
+    read = tagged.join(known, ["host", "variant"], "left").select("page_id", "url", "html", "main")
     return read.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -48,6 +48,25 @@ def test_surroundings_go_and_the_article_stays(spark, ws):
     assert read(spark, ws, [(1, "http://a.b/1", RICH)]) == [(1, RICH_TEXT)]
 
 
+def test_templates_of_a_host_are_read_apart(spark, ws):
+    """Articles, main elements, named parts, plain markup and teaser cards; hosts and no hosts."""
+    long = "many words of text " * 9
+    pages = [
+        (f"<body><article><p>{long}a</p></article></body>", f"{long}a"),
+        (f"<body><main><p>{long}b</p></main></body>", f"{long}b"),
+        (f"<body><div class=content><p>{long}c</p></div></body>", f"{long}c"),
+        (f"<body><div><p>{long}d</p></div></body>", f"{long}d"),
+        (f"<body><main><p>{long}e</p></main><section><article>card</article><article>card</article></section></body>", f"{long}e"),
+        (f"<body><div><p>{long}f</p></div><article>card</article></body>", f"{long}f\ncard"),
+        (f"<body><main><p>{long}g</p><article>card</article></main></body>", f"{long}g\ncard"),
+    ]
+    urls = ["http://one.host/", None, "", "no host"]
+    rows = [(10 * i + k, url, page) for i, (page, _) in enumerate(pages) for k, url in enumerate(urls)]
+    assert read(spark, ws, rows) == sorted(
+        ((10 * i + k, want) for i, (_, want) in enumerate(pages) for k in range(len(urls))), key=repr
+    )
+
+
 def test_unmarked_pages_lose_link_lists(spark, ws):
     page = "<body><div class=x>{0}</div><div class=y><a>{1}</a> <a>{1}</a></div>"
     rows = [(i, f"https://h.org:80/{i}", page.format("text " * (9 + i), f"link{i}")) for i in range(5)]
