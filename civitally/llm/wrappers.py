@@ -80,7 +80,7 @@ def element(name: str, attrs: str) -> str:
     for key, value in ATTRIBUTE.findall(attrs):
         key = key.lower()
         value = "hidden" if key == "hidden" else re.sub(r"[0-9]+", "0", value.strip("\"'"))
-        kept += [("~" if key == "role" else ".") + v for v in value.split()[:4]]
+        kept += [("~" if key == "role" else ".") + v.replace("/", "|") for v in value.split()]
     return name + "".join(sorted(set(kept)))
 
 

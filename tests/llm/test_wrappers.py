@@ -67,6 +67,12 @@ def test_templates_of_a_host_are_read_apart(spark, ws):
     )
 
 
+def test_every_class_counts(spark, ws):
+    page = '<body><div class="a b c d content"><p>main text</p></div><p>x</p><div class="flex mt-4 md:w-1/2 w-full p-2 sidebar">side text of more words</div>'
+    assert w.element("div", ' class="z y x w v u"') == "div.u.v.w.x.y.z"
+    assert read(spark, ws, [(1, "http://h/", page), (2, None, page)]) == [(1, "main text"), (2, "main text")]
+
+
 def test_unmarked_pages_lose_link_lists(spark, ws):
     page = "<body><div class=x>{0}</div><div class=y><a>{1}</a> <a>{1}</a></div>"
     rows = [(i, f"https://h.org:80/{i}", page.format("text " * (9 + i), f"link{i}")) for i in range(5)]
