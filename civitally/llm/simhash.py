@@ -161,7 +161,10 @@ def links(classes: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """``doc_id, text_key, fp, component_id`` per row of ``docs``.
+    """``doc_id, text_key, fp, component, component_id`` per row of ``docs``.
+
+    ``component`` (its least fingerprint) is the key of a component; ``component_id``, its
+    least id, is not one where ids repeat or are null.
 
     Null and wordless texts have fingerprint zero and are linked like any other. Rows
     without an id take part; a component of such rows only has a null id. Repeated rows
@@ -177,14 +180,14 @@ def simhash_groups(docs: DataFrame, ws: Workspace) -> DataFrame:
         "linked",
     )
     ids = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = ws.stage(linked.join(ids, "component").select("fp", "component_id"), "of_class")
+    of_class = ws.stage(linked.join(ids, "component").select("fp", "component", "component_id"), "of_class")
     return prints.join(of_class, "fp")
 
 
 def keep_one_per_group(docs: DataFrame, ws: Workspace) -> DataFrame:
     """Rows of ``docs`` that represent their group: the least id of each, one row of it."""
     groups = simhash_groups(docs, ws)
-    chosen = groups.groupBy("component_id").agg(
+    chosen = groups.groupBy("component").agg(
         F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")
     ).select("k.*")
     chosen = ws.stage(chosen.distinct(), "chosen")

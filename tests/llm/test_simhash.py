@@ -90,6 +90,14 @@ def test_one_stays_per_group(docs_of, ws):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, "a b c d e f"), (4, ""), (9, "x y z q r s t u")]
 
 
+def test_unlike_documents_stay_whatever_their_ids(docs_of, ws):
+    unlike = [" ".join(f"w{k}x{i}" for i in range(12)) for k in range(8)]
+    rows = [(None, t) for t in unlike[:5]] + [(7, t) for t in unlike[5:]] + [(None, unlike[0]), (7, unlike[5]), (8, unlike[6]), (None, unlike[6])]
+    kept = simhash.keep_one_per_group(docs_of(rows), ws)
+    want = [(None, t) for t in unlike[:5]] + [(7, t) for t in unlike[5:]]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_long_path(spark, ws):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in components(edges, ws).collect()}
