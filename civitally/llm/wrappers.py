@@ -4,15 +4,17 @@ Pages of one host come from one template. Each page is a stream of structural ta
 text slots; a wrapper is a union-free regular expression over such tokens: plain tokens,
 optional groups ``?`` and repeated groups ``+``. Inference folds streams into a wrapper:
 neighbouring repeats become a repeated group, and where wrapper and stream disagree the
-parts that only one side has become optional groups. Texts become slots, addressed by the
-chain of elements open around them. A host may have several templates: pages whose text
+parts that only one side has become optional groups. A text is a token by its hash: where
+texts differ, it becomes a slot, and a text that stays outside of optional groups stands on
+every page and belongs to the template. Both are addressed by the chain of elements open
+around them. A host may have several templates: pages whose text
 lies in the same marked elements (``article``, ``main``, names such as ``content``), and
 for the most part in the same ones, are one variant. From how much text and link text each slot holds over the pages of a variant,
 slots are declared main text or surroundings; pages are then read through the declarations
-of their variant. Pages without a host have no template in common and are read alone.
+of their variant, without the texts of its template. Pages without a host have no template in common and are read alone.
 
 Folding is associative enough to be done as a tree: equal streams are merged first by a
-map-side combined count, then at most ``FAN_IN`` of a variant meet in a task, level by level,
+map-side combined count (they differ where texts do), then at most ``FAN_IN`` of a variant meet in a task, level by level,
 so a host that holds a third of all pages never meets in one task.
 """
 
@@ -27,6 +29,7 @@ from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,8 @@ FAN_IN = 64
 MAX_PERIOD = 12
 LINKS = 0.6
 SHARE = 0.5
+#: Different pages a variant must have before equal texts count as its template.
+TEMPLATE_PAGES = 3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -121,32 +126,68 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
         yield "close", stack.pop()
 
 
+def text_token(run: list[str]) -> str:
+    """The token of a text between two structural tags, empty for a blank one."""
+    text = " ".join("".join(run).split())
+    return "#" + xxhash.xxh3_64_hexdigest(text.encode("utf-8", "surrogatepass")) if text else ""
+
+
 def stream(page: str) -> tuple[list, dict[str, list[int]]]:
     """Wrapper tokens of a page, and text and link characters per slot."""
     out: list = []
     path: list[str] = []
+    run: list[str] = []
     slots: dict[str, list[int]] = {}
+
+    def end_run() -> None:
+        if token := text_token(run):
+            out.append(token)
+        run.clear()
+
     for kind, value in tokens(page):
         if kind == "open":
+            end_run()
             path.append(value)
             out.append("<" + value)
         elif kind == "close":
+            end_run()
             out.append("</" + path.pop())
-        elif kind in ("text", "link") and value.strip():
-            if not out or out[-1] != "#":
-                out.append("#")
-            held = slots.setdefault("/".join(path), [0, 0])
-            held[kind == "link"] += len(value.strip())
+        elif kind in ("text", "link"):
+            run.append(value)
+            if value.strip():
+                held = slots.setdefault("/".join(path), [0, 0])
+                held[kind == "link"] += len(value.strip())
+    end_run()
     return collapse(out), slots
 
 
 # ---- union-free regular expressions ----------------------------------------------------
 
 
+def _shape(item) -> str:
+    """An item without its texts."""
+    if isinstance(item, str):
+        return "#" if item[:1] == "#" else item
+    return "".join((item[0], "[", *(_shape(x) + "\n" for x in item[1]), "]"))
+
+
+def _shapes(items: list) -> list[str]:
+    return [_shape(x) for x in items]
+
+
+def _united(one: list, two: list) -> list:
+    """Items of one shape as one: where their texts differ, a slot."""
+    if one == two:
+        return one
+    return [
+        x if x == y else "#" if isinstance(x, str) else [x[0], _united(x[1], y[1])] for x, y in zip(one, two)
+    ]
+
+
 def collapse(items: list) -> list:
     """Neighbouring repeats of up to ``MAX_PERIOD`` items become repeated groups."""
     while True:
-        keys = [x if isinstance(x, str) else json.dumps(x) for x in items]
+        keys = _shapes(items)
         out: list = []
         at = 0
         while at < len(items):
@@ -156,7 +197,10 @@ def collapse(items: list) -> list:
                 while keys[end : end + period] == group:
                     end += period
                 if end > at + period and len(group) == period:
-                    body = collapse(items[at : at + period]) if period > 1 else items[at : at + 1]
+                    body = items[at : at + period]
+                    for copy in range(at + period, end, period):
+                        body = _united(body, items[copy : copy + period])
+                    body = collapse(body) if period > 1 else body
                     whole = body[0] if period == 1 and isinstance(body[0], list) else ["+", body]
                     out.append(whole)
                     at = end
@@ -164,9 +208,11 @@ def collapse(items: list) -> list:
             else:
                 if (  # a repeated group takes in the next copy of its body
                     out and isinstance(out[-1], list) and out[-1][0] == "+"
-                    and items[at : at + len(out[-1][1])] == out[-1][1]
+                    and keys[at : at + len(out[-1][1])] == _shapes(out[-1][1])
                 ):
-                    at += len(out[-1][1])
+                    size = len(out[-1][1])
+                    out[-1] = ["+", _united(out[-1][1], items[at : at + size])]
+                    at += size
                 else:
                     out.append(items[at])
                     at += 1
@@ -178,7 +224,7 @@ def collapse(items: list) -> list:
 def _key(item) -> str:
     """Items that may be aligned have equal keys; groups are told apart by how they begin."""
     if isinstance(item, str):
-        return item
+        return "#" if item[:1] == "#" else item
     first = item[1][0] if item[1] else ""
     return item[0] + _key(first)
 
@@ -199,12 +245,12 @@ def align(one: list, two: list) -> list:
     for op, a, b, c, d in SequenceMatcher(None, keys_one, keys_two, autojunk=False).get_opcodes():
         if op == "equal":
             for x, y in zip(one[a:b], two[c:d]):
-                out.append(x if x == y else [x[0], align(x[1], y[1])])
+                out.append(x if x == y else "#" if isinstance(x, str) else [x[0], align(x[1], y[1])])
             continue
         parts = [p for p in (one[a:b], two[c:d]) if p]
         bodies = [_body(p) for p in parts]
-        if len(parts) == 2 and bodies[0] == bodies[1]:  # once here, several times there
-            whole = ["+", bodies[0]]
+        if len(parts) == 2 and _shapes(bodies[0]) == _shapes(bodies[1]):  # once here, several times there
+            whole = ["+", _united(*bodies)]
             out.append(["?", [whole]] if any(p[0][0] == "?" for p in parts) else whole)
             continue
         for part in parts:
@@ -232,19 +278,20 @@ def infer(streams: list[list]) -> list:
     return wrapper
 
 
-def wrapper_slots(wrapper: list) -> set[str]:
-    """Paths of the text slots of a wrapper."""
-    found: set[str] = set()
+def template_texts(wrapper: list) -> set[tuple[str, str]]:
+    """(path, token) of the texts that every page of a wrapper has."""
+    found: set[tuple[str, str]] = set()
     path: list[str] = []
 
-    def walk(items: list) -> None:
+    def walk(items: list, always: bool) -> None:
         for x in items:
             if isinstance(x, list):
                 before = list(path)
-                walk(x[1])
+                walk(x[1], always and x[0] != "?")
                 path[:] = before if x[0] == "?" and len(path) < len(before) else path
-            elif x == "#":
-                found.add("/".join(path))
+            elif x[:1] == "#":
+                if always and x != "#":
+                    found.add(("/".join(path), x))
             elif x.startswith("</"):
                 if x[2:] in path:
                     while path.pop() != x[2:]:
@@ -252,7 +299,7 @@ def wrapper_slots(wrapper: list) -> set[str]:
             else:
                 path.append(x[1:])
 
-    walk(wrapper)
+    walk(wrapper, True)
     return found
 
 
@@ -322,26 +369,38 @@ def declare(slots: dict[str, tuple[int, int]]) -> dict[str, bool]:
     return {p: p in main for p in slots}
 
 
-def main_text(page: str, main: dict[str, bool]) -> str:
-    """Blocks of the main slots, one a line."""
+def main_text(page: str, main: dict[str, set[str]]) -> str:
+    """Blocks of the main slots, one a line, without the template's texts (tokens by slot).
+
+    A page that has nothing else keeps them.
+    """
     blocks: list[str] = []
+    own: list[str] = []
+    here: list[str] = []
     held: list[str] = []
+    run: list[str] = []
     path: list[str] = []
-    for kind, value in tokens(page):
+    for kind, value in [*tokens(page), ("end", "")]:
         if kind in ("text", "link"):
-            if main.get("/".join(path), False):
+            run.append(value)
+            if "/".join(path) in main:
                 held.append(html.unescape(value))
         elif kind == "space":
             held.append(" ")
         else:
-            blocks.append("".join(held))
+            here.append(" ".join("".join(held).split()))
             held = []
+            if kind == "break":
+                continue
+            known = main.get("/".join(path))
+            blocks += here
+            own += [""] * len(here) if known and text_token(run) in known else here
+            here, run = [], []
             if kind == "open":
                 path.append(value)
             elif kind == "close":
                 path.pop()
-    blocks.append("".join(held))
-    return "\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
+    return "\n".join(filter(None, own)) or "\n".join(filter(None, blocks))
 
 
 # ---- Spark --------------------------------------------------------------------------------
@@ -380,18 +439,22 @@ def _seen(pages: DataFrame) -> DataFrame:
 
 def _merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     streams = [json.loads(k) for k in sorted(frame["key"])]
-    return pd.DataFrame({"host": [key[0]], "variant": [key[1]], "key": [json.dumps(infer(streams))]})
+    return pd.DataFrame(
+        {"host": [key[0]], "variant": [key[1]], "key": [json.dumps(infer(streams))], "streams": [frame["streams"].sum()]}
+    )
 
 
 def wrappers(seen: DataFrame, ws: Workspace) -> DataFrame:
-    """``host, variant, key``: one wrapper per variant, as JSON."""
-    left, level = seen.where("not slot").select("host", "variant", "key"), 0
+    """``host, variant, key, streams``: one wrapper per variant, as JSON, and of how many streams."""
+    left, level = seen.where("not slot").select("host", "variant", "key", F.lit(1).cast("long").alias("streams")), 0
     while True:
         sizes = left.groupBy("host", "variant").agg(F.count("*").alias("n"))
         most = sizes.agg(F.max("n")).first()[0] or 0
         groups = F.ceil(F.col("n") / FAN_IN).cast("int")
         dealt = left.join(sizes, ["host", "variant"]).withColumn("group", F.pmod(F.xxhash64("key", F.lit(level)), groups))
-        merged = dealt.groupBy("host", "variant", "group").applyInPandas(_merge, "host string, variant string, key string")
+        merged = dealt.groupBy("host", "variant", "group").applyInPandas(
+            _merge, "host string, variant string, key string, streams long"
+        )
         left, level = ws.stage(merged, f"wrappers-{level}"), level + 1
         if most <= FAN_IN:
             return left
@@ -399,18 +462,20 @@ def wrappers(seen: DataFrame, ws: Workspace) -> DataFrame:
 
 def _declared(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     slots = {r.key: (int(r.text), int(r.link)) for r in frame[frame["slot"]].itertuples()}
-    for wrapper in frame["key"][~frame["slot"]]:
-        for path in wrapper_slots(json.loads(wrapper)):
-            slots.setdefault(path, (0, 0))
-    main = sorted(p for p, is_main in declare(slots).items() if is_main)
+    main: dict[str, list[str]] = {p: [] for p, is_main in sorted(declare(slots).items()) if is_main}
+    for r in frame[~frame["slot"]].itertuples():
+        if r.text >= TEMPLATE_PAGES:
+            for path, token in sorted(template_texts(json.loads(r.key))):
+                if path in main:
+                    main[path].append(token)
     return pd.DataFrame({"host": [key[0]], "variant": [key[1]], "main": [json.dumps(main)]})
 
 
 def declarations(pages: DataFrame, ws: Workspace) -> DataFrame:
-    """``host, variant, main``: the main slots of each variant, from all its pages."""
+    """``host, variant, main``: the main slots of each variant and its template's texts in them, from all its pages."""
     seen = ws.stage(_seen(pages), "seen")
     found = wrappers(seen, ws).select(
-        "host", "variant", F.lit(False).alias("slot"), "key", F.lit(0).alias("text"), F.lit(0).alias("link")
+        "host", "variant", F.lit(False).alias("slot"), "key", F.col("streams").alias("text"), F.lit(0).cast("long").alias("link")
     )
     both = seen.where("slot").unionByName(found)
     main = both.groupBy("host", "variant").applyInPandas(_declared, "host string, variant string, main string")
@@ -441,17 +506,18 @@ def extract(pages: DataFrame, ws: Workspace) -> DataFrame:
     known = declarations(rows.where("host <> ''").select("host", "html"), ws)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, dict[str, bool]] = {}
+        cache: dict[str, dict[str, set[str]]] = {}
         for part in parts:
             texts = []
             for declared, page in zip(part["main"].to_pylist(), part["html"]):
                 if declared is None:
-                    texts.append(main_text(page.as_py(), declare(stream(page.as_py())[1])))
+                    alone = declare(stream(page.as_py())[1])
+                    texts.append(main_text(page.as_py(), {p: set() for p, is_main in alone.items() if is_main}))
                     continue
                 if declared not in cache:
                     if len(cache) > 1000:
                         cache.clear()
-                    cache[declared] = dict.fromkeys(json.loads(declared), True)
+                    cache[declared] = {p: set(t) for p, t in json.loads(declared).items()}
                 texts.append(main_text(page.as_py(), cache[declared]))
             yield pa.RecordBatch.from_arrays(
                 [part["page_id"], part["url"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -67,6 +67,20 @@ def test_templates_of_a_host_are_read_apart(spark, ws):
     )
 
 
+def test_wrapper_tells_template_from_slots(spark, ws, monkeypatch):
+    """Texts on every page go wherever they stand; texts of some pages only, or of two pages, stay."""
+    page = "<body><div class=x7>notice of the {0}</div>{1}<div class=y>{2} own text</div><p>again</p><p>again</p>"
+    rows = [(i, "http://h/", page.format("house", "<h4>some</h4>" * (i % 2), f"word{i} " * 9)) for i in range(9)]
+    rows += [(20 + i, "http://two/", page.format("house", "", f"word{i}")) for i in range(2)]
+    rows += [(30 + i, "http://art/", f"<article><h1>title{i}</h1><div class=x7>subscribe now</div><p>{'t' * i} text</p></article>") for i in range(4)]
+    want = [(i, "some\n" * (i % 2) + f"word{i} " * 9 + "own text") for i in range(9)]
+    want += [(20 + i, f"notice of the house\nword{i} own text\nagain\nagain") for i in range(2)]
+    want += [(30 + i, f"title{i}\n{'t' * i} text".replace("\n ", "\n")) for i in range(4)]
+    assert read(spark, ws, rows) == sorted(want, key=repr)
+    monkeypatch.setattr(w, "FAN_IN", 2)
+    assert read(spark, ws, rows) == sorted(want, key=repr)
+
+
 def test_every_class_counts(spark, ws):
     page = '<body><div class="a b c d content"><p>main text</p></div><p>x</p><div class="flex mt-4 md:w-1/2 w-full p-2 sidebar">side text of more words</div>'
     assert w.element("div", ' class="z y x w v u"') == "div.u.v.w.x.y.z"
@@ -115,6 +129,18 @@ def test_wrappers_cover_both(one, two, wrapper):
     assert w.align(w.collapse(one), w.collapse(two)) == wrapper
 
 
+@pytest.mark.parametrize(
+    "one, two, wrapper",
+    [
+        (["<p", "#x", "</p"], ["<p", "#x", "</p"], ["<p", "#x", "</p"]),
+        (["<p", "#x", "</p", "#z"], ["<p", "#y", "</p", "#z"], ["<p", "#", "</p", "#z"]),
+        (["a", "#x", "#y"], ["a", "#x"], ["a", ["+", ["#"]]]),
+    ],
+)
+def test_differing_texts_become_slots(one, two, wrapper):
+    assert w.align(w.collapse(one), w.collapse(two)) == wrapper
+
+
 def test_repeats_of_repeats():
     row = ["<tr", "<td", "#", "</td", "<td", "#", "</td", "</tr"]
     assert w.collapse(row * 3) == [["+", ["<tr", ["+", ["<td", "#", "</td"]], "</tr"]]]
