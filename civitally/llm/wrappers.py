@@ -452,6 +452,8 @@ def wrappers(seen: DataFrame, ws: Workspace) -> DataFrame:
         most = sizes.agg(F.max("n")).first()[0] or 0
         groups = F.ceil(F.col("n") / FAN_IN).cast("int")
         dealt = left.join(sizes, ["host", "variant"]).withColumn("group", F.pmod(F.xxhash64("key", F.lit(level)), groups))
+        # dealt by group too: a broadcast join would keep the rows of a variant together
+        dealt = dealt.repartition("host", "variant", "group")
         merged = dealt.groupBy("host", "variant", "group").applyInPandas(
             _merge, "host string, variant string, key string, streams long"
         )
