@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import Workspace
-from . import langid, passages, pii, quality, secrets, suffixes, wrappers
+from . import langid, passages, pii, quality, runs, secrets, suffixes, wrappers
 from .common import table
 from .decontaminate import decontaminate
 from .packing import pack
@@ -70,6 +70,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), Workspace(spark, "op10"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the runs of every text; of a tenth of the texts the tails repeat (see there)."""
+    found = runs.periodic_runs(runs.with_repeated_tails(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", runs.strongest())
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], F.concat(r["period"], F.lit("\n"))))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op8_extraction,
         op9_packing,
         op10_quality,
+        op13_runs,
     )
 }
 
