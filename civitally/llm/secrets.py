@@ -44,8 +44,9 @@ ALLOWED = tuple(
     re.compile(p)
     for p in (
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # UUID
-        r"[A-Za-z]?[a-z]+([-_/=+][A-Za-z]?[a-z]+)*",  # words, joined words and paths of words
-        r"[A-Z]+([-_/=+][A-Z]+)*",  # constant names
+        # every part in one way only, so that long paths take linear time
+        r"[A-Z]?[a-z]+(?:[-_/=+][A-Z]?[a-z]+)*",  # words, joined words and paths of words
+        r"[A-Z]+(?:[-_/=+][A-Z]+)*",  # constant names
         r"[-_=+/]+",  # rules
         r".*(EXAMPLE|example|XXXX|xxxx).*",  # placeholders
     )

@@ -1,9 +1,12 @@
 import random
 import re
+import time
 from collections import Counter
 from hashlib import sha256
 from math import log2
 
+import pytest
+
 from civitally.llm import secrets
 from civitally.llm.queries import QUERIES
 
@@ -74,3 +77,16 @@ def test_random_strings_are_added_and_writing_is_not():
     assert spans == f"entropy:4:{4 + len(key)}"
     calm = "internationalization/of/everything 123456789012345678901234567890 123e4567-e89b-12d3-a456-426614174000 AbcEXAMPLEwJalrXUtnFEMI7"
     assert secrets.scan_text(calm)[4] == ""
+
+
+@pytest.mark.parametrize("part", ["word-", "Word_", "Ab/", "CONST_", "x=", "1a-", "ab12", "-", "EXAMPLE", "Zz9+"])
+def test_long_strings_of_parts_take_linear_time(part):
+    began = time.process_time()
+    for end in ("2024", "word", "", "!"):
+        secrets.scan_text(part * 10_000 + end)
+    assert time.process_time() - began < 5
+
+
+def test_slugs_are_no_secrets():
+    assert secrets.scan_text("see word-by-word-and-part-by-part-of-a-slug now")[5] == 0
+    assert secrets.scan_text("see Path/to/Some_file=named+here-again-and-again now")[5] == 0
