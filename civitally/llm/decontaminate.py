@@ -55,8 +55,8 @@ def joined_spans(spans: list[int]) -> list[int]:
 class Matcher:
     """Wu-Manber tables for the windows of some items, given as (item id, words)."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]]):
-        owners: dict[tuple, set] = defaultdict(set)
+    def __init__(self, items: list[tuple[str | None, list[bytes]]]):
+        owners: dict[tuple, set[str | None]] = defaultdict(set)
         for item, words in items:
             length = min(WINDOW, len(words))
             for at in range(len(words) - length + 1 if words else 0):
@@ -104,17 +104,17 @@ class Matcher:
     def hits(self, words: list[bytes]) -> tuple[list[int], list[str]]:
         """Disjoint word spans that occurrences cover, flat (start, end, ...), and the items."""
         spans: list[int] = []
-        items: set[str] = set()
+        items: set[str | None] = set()
         for start, pattern in self.search(words):
             items |= self.owners[pattern]
             spans += [start, start + len(pattern)]
-        return joined_spans(spans), sorted(items)
+        return joined_spans(spans), sorted(items - {None})
 
 
 def _slices(benchmark: DataFrame) -> Iterator[Matcher]:
     """Matchers over slices of the benchmark, each of about ``PASS_WORDS`` words."""
     items = (
-        benchmark.where("item_id is not null and text is not null")
+        benchmark.where("text is not null")
         .select(F.col("item_id").cast("string").alias("item"), utf8().alias("text"))
         .distinct()
     )
@@ -156,8 +156,8 @@ def search(docs: DataFrame, benchmark: DataFrame, ws: Workspace) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (flat word positions, disjoint) and ``items``.
 
     Columns of these names are replaced. Null and wordless texts have no words and no
-    hits; null and wordless items, and items without an id, match nothing. Repeated rows
-    are searched each. An empty benchmark leaves every document clean.
+    hits; null and wordless items match nothing. An item without an id hits like any other,
+    but ``items`` has no name for it. Repeated rows are searched each. An empty benchmark leaves every document clean.
     """
     rows = docs.drop(*_FOUND.names).withColumn("__utf8", utf8())
     matcher, more = Matcher([]), _slices(benchmark)

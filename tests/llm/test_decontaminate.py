@@ -18,7 +18,7 @@ def expected(docs, items):
     windows = {}
     for item, text in items:
         w = words(text)
-        if item is not None and w:
+        if w:
             n = min(10, len(w))
             for i in range(len(w) - n + 1):
                 windows.setdefault(tuple(w[i : i + n]), set()).add(item)
@@ -30,6 +30,7 @@ def expected(docs, items):
                 if tuple(w[i : i + n]) in windows:
                     hit.update(range(i, i + n))
                     found |= windows[tuple(w[i : i + n])]
+        found -= {None}
         ids = ",".join(sorted(map(str, found)))
         out.append((doc, len(w), len(hit), len(found), sha256(ids.encode()).hexdigest(), bool(hit)))
     return sorted(out, key=repr)
@@ -72,3 +73,10 @@ def test_only_clean_rows_stay(spark, docs_of, ws):
     kept = d.drop_contaminated(docs, bench, ws)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+def test_items_without_an_id_hit(spark, docs_of, ws):
+    bench = spark.createDataFrame([(None, "a b c d e f g h i j"), (None, "k l"), (1, "k l")], "item_id long, text string")
+    docs = [(1, "x a b c d e f g h i j y"), (2, "k l"), (3, "a b")]
+    got = rows(d.decontaminate(docs_of(docs), bench, ws))
+    assert [(r[0], r[2], r[3], r[5]) for r in got] == [(1, 10, 0, True), (2, 2, 1, True), (3, 0, 0, False)]
