@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import Workspace
-from . import langid, passages, pii, quality, runs, secrets, suffixes, wrappers
+from . import langid, lexical, passages, pii, pivots, quality, runs, secrets, suffixes, wrappers
 from .common import table
 from .decontaminate import decontaminate
+from .oracles import ORACLES as ORACLES
 from .packing import pack
 from .simhash import simhash_groups
 
@@ -70,6 +71,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), Workspace(spark, "op10"))
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical.ranked(docs, items, Workspace(spark, "op11"))
+
+
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivots.nearest(vectors, F.col("vec_id") % 50 == 0, 5, Workspace(spark, "op12"))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the runs of every text; of a tenth of the texts the tails repeat (see there)."""
     found = runs.periodic_runs(runs.with_repeated_tails(table(spark, sf_dir, "documents")))
@@ -100,8 +111,8 @@ QUERIES: dict[str, Query] = {
         op8_extraction,
         op9_packing,
         op10_quality,
+        op11_ranked,
+        op12_nearest,
         op13_runs,
     )
 }
-
-ORACLES: dict[str, str] = {}
