@@ -39,6 +39,11 @@ def drop_unused(df: DataFrame) -> DataFrame:
     return df.drop(*DROPPED_COLUMNS)
 
 
+def typed_rows(df: DataFrame, ws: Workspace) -> DataFrame:
+    """Cast rows with the columns that are kept, written once; what follows reads this table."""
+    return ws.stage(drop_unused(cast_columns(df)), "typed")
+
+
 def clean(
     df: DataFrame,
     ws: Workspace,
@@ -54,9 +59,20 @@ def clean(
     deduplicated and filled within their page, then once more across pages unless
     ``across`` is false.
     """
-    typed = drop_unused(cast_columns(df))
-    base = ws.stage(keep_one_per_key(typed, order=order, scope=scope, keep=keep), "cleaned")
+    return clean_typed(typed_rows(df, ws), ws, order, scope, keep, across)
+
+
+def clean_typed(
+    typed: DataFrame,
+    ws: Workspace,
+    order: str = "row_order",
+    scope: tuple[str, ...] = (),
+    keep: str = "first",
+    across: bool = True,
+) -> DataFrame:
+    """``clean`` for rows already cast and written."""
+    base = keep_one_per_key(typed, ws, order=order, scope=scope, keep=keep)
     filled = impute(base, ws, order, scope)
-    if scope and across:
-        filled = keep_one_per_key(filled, order=order, keep=keep)
+    if scope and across:  # fills touch neither keys nor orders, so repeats are found before them
+        filled = keep_one_per_key(filled, ws, order=order, keep=keep, name="across", found_in=base)
     return filled

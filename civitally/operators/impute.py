@@ -20,6 +20,9 @@ from .fill import all_present
 
 ZIP_FLAG = "_incident_zip_imputed"
 
+#: Tasks that may share the rows of one key of a summary.
+SALTS = 8
+
 PLACE = [
     "latitude",
     "longitude",
@@ -83,19 +86,34 @@ def borough_zip_lookup(places: DataFrame, scope: list[str]) -> DataFrame:
 
 def places_with_final_zip(places: DataFrame, by_borough: DataFrame, scope: list[str]) -> DataFrame:
     """``zip2``, from the staged lookup, so that its size decides how it is joined."""
-    return places.join(by_borough, [*scope, "borough"], "left").withColumn(
+    spread = F.xxhash64("latitude", "longitude", "incident_zip", "community_board")
+    return spread_left_join(places, by_borough, [*scope, "borough"], spread).withColumn(
         "zip2", F.coalesce("zip1", "_borough_zip")
     ).drop("_borough_zip")
 
 
-def district_lookups(places2: DataFrame, scope: list[str]) -> tuple[DataFrame, DataFrame]:
-    """District by final zip, then by community board over zip-filled districts."""
-    by_zip = _first_value(places2, [*scope, "zip2"], "council_district", "_zip_district")
-    filled = places2.join(by_zip, [*scope, "zip2"], "left").withColumn(
+def spread_left_join(rows: DataFrame, lookup: DataFrame, keys: list[str], salt: Column) -> DataFrame:
+    """Left join with a small staged lookup; a key that very many rows share goes to ``SALTS`` tasks.
+
+    The lookup is repeated per salt. Where its written size allows a broadcast that costs nothing,
+    beyond that no task gets all rows of a hot key.
+    """
+    salted = rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    return salted.join(lookup.select("*", salts), [*keys, "_salt"], "left").drop("_salt")
+
+
+def district_by_zip(places2: DataFrame, scope: list[str]) -> DataFrame:
+    return _first_value(places2, [*scope, "zip2"], "council_district", "_zip_district")
+
+
+def district_by_board(places2: DataFrame, by_zip: DataFrame, scope: list[str]) -> DataFrame:
+    """District by community board over zip-filled districts; ``by_zip`` is a staged lookup."""
+    spread = F.xxhash64("latitude", "longitude", "community_board")
+    filled = spread_left_join(places2, by_zip, [*scope, "zip2"], spread).withColumn(
         "district1", F.coalesce("council_district", "_zip_district")
     )
-    by_board = _first_value(filled, [*scope, "community_board"], "district1", "_board_district")
-    return by_zip, by_board
+    return _first_value(filled, [*scope, "community_board"], "district1", "_board_district")
 
 
 def centroids(places2: DataFrame, scope: list[str], key: str) -> DataFrame:
@@ -129,13 +147,12 @@ def category_summary(df: DataFrame, order: str, scope: list[str]) -> DataFrame:
     return df.select(*scope, F.col(order).alias("_at"), fields).groupBy(*keys).agg(F.min("_at").alias("first_row"))
 
 
-def category_lookups(summary: DataFrame, scope: list[str]) -> tuple[DataFrame, DataFrame]:
+def category_lookups(summary: DataFrame, ws: Workspace, scope: list[str]) -> tuple[DataFrame, DataFrame]:
     """First-step and second-step fills; the second sees what the first filled."""
     group1 = [*scope, "field", "k1"]
-    step1 = _first_value(summary, group1, "value", "fill1")
-    filled = summary.join(step1, group1, "left").withColumn(
-        "value1", F.coalesce("value", "fill1")
-    )
+    step1 = ws.stage(_first_value(summary, group1, "value", "fill1"), "category-fills")
+    spread = F.xxhash64("k2", "value")
+    filled = spread_left_join(summary, step1, group1, spread).withColumn("value1", F.coalesce("value", "fill1"))
     step2 = _first_value(filled, [*scope, "field", "k2"], "value1", "fill2")
     return step1, step2
 
@@ -171,7 +188,8 @@ def _gives(df: DataFrame, scope: list[str], key_column, key: str, **values: str
 def _place_fills(places: DataFrame, ws: Workspace, scope: list[str]) -> list[DataFrame]:
     by_borough = ws.stage(borough_zip_lookup(places, scope), "borough-zips")
     places2 = ws.stage(places_with_final_zip(places, by_borough, scope), "places-final")
-    by_zip, by_board = district_lookups(places2, scope)
+    by_zip = ws.stage(district_by_zip(places2, scope), "zip-districts")
+    by_board = district_by_board(places2, by_zip, scope)
     zips = centroids(places2, scope, "zip2")
     boards = centroids(places2, scope, "community_board")
     return [
@@ -183,7 +201,7 @@ def _place_fills(places: DataFrame, ws: Workspace, scope: list[str]) -> list[Dat
     ]
 
 
-def _category_fills(summary: DataFrame, scope: list[str]) -> list[DataFrame]:
+def _category_fills(summary: DataFrame, ws: Workspace, scope: list[str]) -> list[DataFrame]:
     def rows(lookup: DataFrame, step: int, key: str, value: str) -> DataFrame:
         column = F.coalesce(
             *[F.when(F.col("field") == f, F.lit(ks[step])) for f, ks in CATEGORICAL.items()]
@@ -191,7 +209,7 @@ def _category_fills(summary: DataFrame, scope: list[str]) -> list[DataFrame]:
         gives = {f: F.when(F.col("field") == f, F.col(value)) for f in CATEGORICAL}
         return _gives(lookup, scope, column, key, **gives)
 
-    step1, step2 = category_lookups(summary, scope)
+    step1, step2 = category_lookups(summary, ws, scope)
     return [rows(step1, 0, "k1", "fill1"), rows(step2, 1, "k2", "fill2")]
 
 
@@ -215,7 +233,7 @@ def prepare_fills(
     if places:
         parts += _place_fills(staged["places"], ws, scope)
     if categories:
-        parts += _category_fills(staged["categories"], scope)
+        parts += _category_fills(staged["categories"], ws, scope)
     # at most one row gives each value, so max() merely merges rows of one key
     merged = (
         reduce(DataFrame.unionByName, parts)

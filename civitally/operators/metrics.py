@@ -4,6 +4,9 @@ Percentiles are exact. Rows are first counted per (group, hours) with an
 ordinary hash aggregation, which combines map-side and spreads a hot group over
 all tasks. A running sum over coarse buckets of hours then finds the few buckets
 in which the wanted ranks lie; only hours inside those are ranked.
+
+Such counts add up, so they may also be kept: every function here takes requests or
+counted requests (with a column ``n``).
 """
 
 from __future__ import annotations
@@ -23,6 +26,15 @@ BUCKET_HOURS = 24
 PERCENTILES = {"median_resolution_hours": (1, 2), "p90_resolution_hours": (9, 10)}
 
 
+COUNT = "n"
+
+
+def counted(requests: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, is_closed, hours, n`` of requests, or of requests counted by finer keys."""
+    size = F.sum(COUNT) if COUNT in requests.columns else F.count("*")
+    return requests.groupBy(*keys, "is_closed", HOURS).agg(size.alias(COUNT))
+
+
 def _scaled_rank(quantile: tuple[int, int], filled: Column) -> Column:
     """Position q*(n-1) as an exact integer, multiplied by the denominator."""
     num, _ = quantile
@@ -73,17 +85,18 @@ def _interpolated(name: str) -> Column:
 
 
 def request_metrics(facts: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
-    """``metrics`` per ``keys``; rates and hours stay decimals with two places.
+    """``metrics`` per ``keys`` of requests or counted requests; rates and hours stay decimals with two places.
 
     Available: total_count, closed_count, open_count, pct_closed,
     avg_resolution_hours, median_resolution_hours, p90_resolution_hours.
     """
     wanted = [m for m in metrics if m in PERCENTILES]
-    if wanted:
-        counts = facts.groupBy(*keys, "is_closed", HOURS).agg(F.count("*").alias("n"))
-        rows = counts.unionByName(_ranked(counts, keys, wanted), allowMissingColumns=True)
-        n, hours_sum = F.col("n"), F.col(HOURS) * F.col("n").cast("decimal(18,0)")
-        counted = {
+    if wanted or COUNT in facts.columns:
+        rows = counts = counted(facts, keys) if wanted else facts
+        if wanted:
+            rows = counts.unionByName(_ranked(counts, keys, wanted), allowMissingColumns=True)
+        n, hours_sum = F.col(COUNT), F.col(HOURS) * F.col(COUNT).cast("decimal(18,0)")
+        known = {
             "total_count": F.sum(n),
             "closed_count": F.sum(F.when(F.col("is_closed"), n).when(n.isNotNull(), F.lit(0))),
             "_hours_sum": F.sum(hours_sum),
@@ -91,18 +104,16 @@ def request_metrics(facts: DataFrame, keys: list[str], metrics: list[str]) -> Da
         }
     else:
         rows = facts
-        counted = {
+        known = {
             "total_count": F.count("*"),
             "closed_count": F.count_if("is_closed"),
             "_hours_sum": F.sum(HOURS),
             "_hours_n": F.count(HOURS),
         }
     if not keys:  # a single row even over no rows: counts are 0, not null
-        counted = {
-            c: F.coalesce(e, F.lit(0)) if c.endswith("count") else e for c, e in counted.items()
-        }
+        known = {c: F.coalesce(e, F.lit(0)) if c.endswith("count") else e for c, e in known.items()}
     base = rows.groupBy(*keys).agg(
-        *[e.alias(c) for c, e in counted.items()],
+        *[e.alias(c) for c, e in known.items()],
         *[round2(_interpolated(m)).alias(m) for m in wanted],
     )
     mean = F.col("_hours_sum").cast("double") / F.nullif(F.col("_hours_n"), F.lit(0))

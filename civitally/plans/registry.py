@@ -90,10 +90,23 @@ def _on_facts(which: str, fn: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, d: fn(_gold(spark, d, which).facts(), *args)
 
 
-def _on_dim(fn: Callable[..., DataFrame], dim: str) -> Query:
+def _on_days(which: str, fn: Callable[..., DataFrame], *args) -> Query:
+    """Over the counts by day alone."""
+    return lambda spark, d: fn(_gold(spark, d, which).counted("day"), *args)
+
+
+def _trailing(which: str, fn: Callable[..., DataFrame], as_of: datetime) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        gold = _gold(spark, d, which)
+        return fn(gold.facts(), as_of, gold.counted("day"))
+
+    return run
+
+
+def _on_dim(fn: Callable[..., DataFrame], dim: str, kind: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         gold = _gold(spark, d, "history")
-        return fn(gold.facts(), gold.dimensions()[dim])
+        return fn(gold.counted(kind), gold.dimensions()[dim])
 
     return run
 
@@ -102,18 +115,18 @@ def _then(query: Query, fn: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, d: fn(query(spark, d), *args)
 
 
-BY_BOROUGH = _on_dim(views.requests_by_borough, "dim_location")
-BY_TYPE = _on_dim(views.requests_by_complaint_type, "dim_complaint_type")
-BY_AGENCY = _on_dim(views.requests_by_agency, "dim_agency")
+BY_BOROUGH = _on_dim(views.requests_by_borough, "dim_location", "location")
+BY_TYPE = _on_dim(views.requests_by_complaint_type, "dim_complaint_type", "complaint_type")
+BY_AGENCY = _on_dim(views.requests_by_agency, "dim_agency", "agency")
 # the same without their order, for what aggregates or orders them anew
-TYPES = _on_dim(views.complaint_type_metrics, "dim_complaint_type")
-AGENCIES = _on_dim(views.agency_metrics, "dim_agency")
+TYPES = _on_dim(views.complaint_type_metrics, "dim_complaint_type", "complaint_type")
+AGENCIES = _on_dim(views.agency_metrics, "dim_agency", "agency")
 
 
 def overview_headline(spark: SparkSession, d: str) -> DataFrame:
-    facts = _gold(spark, d, "dense").facts()
+    days = _gold(spark, d, "dense").counted("day")
     return headlines.overview_headline(
-        summaries.daily_30d_series(facts, B_NOW), summaries.weekly_summary(facts, B_NOW)
+        summaries.daily_30d_series(days, B_NOW), summaries.weekly_summary(days, B_NOW)
     )
 
 
@@ -161,7 +174,7 @@ def dedup_first(spark: SparkSession, d: str) -> DataFrame:
         .withColumn("row_order", F.col("unique_key"))
         .unionByName(full.withColumn("row_order", F.col("unique_key") + F.lit(1 << 40)))
     )
-    return keep_one_per_key(both).select(*REQUEST_COLUMNS)
+    return keep_one_per_key(both, Workspace(spark, "dedup")).select(*REQUEST_COLUMNS)
 
 
 def _imputed(spark: SparkSession, d: str, *fills: str) -> DataFrame:
@@ -449,22 +462,22 @@ QUERIES: dict[str, Query] = {
     "check_fact_fks": check_fact_fks,
     "check_dim_keys": check_dim_keys,
     # metric views
-    "requests_daily": _on_facts("dense", views.requests_daily),
-    "requests_daily_history": _on_facts("history", views.requests_daily),
-    "requests_7d": _on_facts("dense", views.requests_7d, B_NOW),
-    "requests_7d_history": _on_facts("history", views.requests_7d, A_NOW),
-    "requests_30d": _on_facts("dense", views.requests_30d, B_NOW),
+    "requests_daily": _on_days("dense", views.requests_daily),
+    "requests_daily_history": _on_days("history", views.requests_daily),
+    "requests_7d": _trailing("dense", views.requests_7d, B_NOW),
+    "requests_7d_history": _trailing("history", views.requests_7d, A_NOW),
+    "requests_30d": _trailing("dense", views.requests_30d, B_NOW),
     "requests_by_borough": BY_BOROUGH,
     "requests_by_complaint_type": BY_TYPE,
     "requests_by_agency": BY_AGENCY,
-    "requests_by_day_of_week": _on_dim(views.requests_by_day_of_week, "dim_date"),
+    "requests_by_day_of_week": _on_dim(views.requests_by_day_of_week, "dim_date", "day"),
     "backlog_aging": _on_facts("history", views.backlog_aging, A_NOW),
     "backlog_aging_dense": _on_facts("dense", views.backlog_aging, B_NOW),
     # published summaries and roll-ups
-    "daily_30d_summary": _on_facts("dense", summaries.daily_30d_summary, B_NOW),
-    "daily_chart_series": _on_facts("dense", summaries.daily_chart_series, B_NOW),
-    "weekly_summary": _on_facts("dense", summaries.weekly_summary, B_NOW),
-    "weekly_summary_history": _on_facts("history", summaries.weekly_summary, A_NOW),
+    "daily_30d_summary": _on_days("dense", summaries.daily_30d_summary, B_NOW),
+    "daily_chart_series": _on_days("dense", summaries.daily_chart_series, B_NOW),
+    "weekly_summary": _on_days("dense", summaries.weekly_summary, B_NOW),
+    "weekly_summary_history": _on_days("history", summaries.weekly_summary, A_NOW),
     "overview_headline": overview_headline,
     "top10_complaint_types": _then(TYPES, headlines.top_by_volume, "complaint_type"),
     "top10_agencies": _then(AGENCIES, headlines.top_by_volume, "agency_code"),

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import change_pct, published, ratio_pct, round2
-from ..functions.timeparts import before, month_day_label
+from ..functions.timeparts import before, month_day_label, month_of
+from ..operators.metrics import COUNT
 from .views import COUNTS, as_published, created_from, daily_metrics, in_order
 
 
@@ -16,22 +17,25 @@ def _midnight(day: str = "request_date") -> Column:
     return F.col(day).cast("timestamp_ntz")
 
 
-def _days_from(facts: DataFrame, as_of: datetime, days: int, metrics: list[str]) -> DataFrame:
-    """Daily metrics of days whose midnight is within the window.
+def _days_from(facts: DataFrame, as_of: datetime | None, days: int, metrics: list[str]) -> DataFrame:
+    """Daily metrics of days whose midnight is within the window, from facts or counts by day.
 
-    The bound on the raw timestamp reaches the scan; the one on the day drops the
-    partial first day.
+    The bound on the raw timestamp reaches the scan of facts, the one on the month prunes folders;
+    the one on the day drops the partial first day.
     """
     start = before(as_of, days)
-    daily = daily_metrics(created_from(facts, start), metrics)
-    return daily.where(_midnight() >= start)
+    if COUNT in facts.columns:
+        recent = facts.where(F.col("created_month") >= month_of(start))
+    else:
+        recent = created_from(facts, start)
+    return daily_metrics(recent, metrics).where(_midnight() >= start)
 
 
-def daily_30d_summary(facts: DataFrame, as_of: datetime) -> DataFrame:
+def daily_30d_summary(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return in_order(daily_30d_series(facts, as_of), "request_date")
 
 
-def daily_30d_series(facts: DataFrame, as_of: datetime) -> DataFrame:
+def daily_30d_series(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """The summary, unordered."""
     metrics = COUNTS + ["pct_closed", "avg_resolution_hours", "median_resolution_hours"]
     return as_published(_days_from(facts, as_of, 30, metrics)).select(
@@ -43,7 +47,7 @@ def daily_30d_series(facts: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def daily_chart_series(facts: DataFrame, as_of: datetime) -> DataFrame:
+def daily_chart_series(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """The 30-day series with month-day labels, oldest first."""
     return daily_30d_summary(facts, as_of).select(
         month_day_label(F.col("request_date")).alias("date"),
@@ -55,7 +59,7 @@ def daily_chart_series(facts: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def weekly_summary(facts: DataFrame, as_of: datetime) -> DataFrame:
+def weekly_summary(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """This week against the one before: one scan, conditional sums per week.
 
     Week means are unweighted means of the rounded daily means.

@@ -1,7 +1,9 @@
 """The eight metric views over the gold tables.
 
-Every view is a function of the fact table, a dimension where it groups by one,
-and ``as_of`` where it looks back from now; None means the time of asking.
+Every view is a function of the fact table or of counted requests, a dimension where it
+groups by one, and ``as_of`` where it looks back from now; None means the time of asking. The
+views of a gold folder read its counts, and facts only for the part of a day at which a
+window begins.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import published
 from ..functions.timeparts import before, month_of
-from ..operators.metrics import request_metrics
+from ..operators.metrics import COUNT, counted, request_metrics
 from ..sources.gold import Gold
 
 COUNTS = ["total_count", "closed_count", "open_count"]
@@ -44,8 +46,9 @@ def created_from(facts: DataFrame, start: Column) -> DataFrame:
 
 
 def daily_metrics(facts: DataFrame, metrics: list[str]) -> DataFrame:
-    days = facts.withColumn("request_date", F.to_date("created_date"))
-    return request_metrics(days, ["request_date"], metrics)
+    if COUNT not in facts.columns:
+        facts = facts.withColumn("request_date", F.to_date("created_date"))
+    return request_metrics(facts, ["request_date"], metrics)
 
 
 def in_order(df: DataFrame, *columns: Column | str) -> DataFrame:
@@ -61,17 +64,26 @@ def requests_daily(facts: DataFrame) -> DataFrame:
     return in_order(as_published(daily_metrics(facts, ALL_METRICS)), F.col("request_date").desc())
 
 
-def trailing_window(facts: DataFrame, as_of: datetime | None, days: int) -> DataFrame:
-    recent = created_from(facts, before(as_of, days))
+def trailing_window(
+    facts: DataFrame, as_of: datetime | None, days: int, by_day: DataFrame | None = None
+) -> DataFrame:
+    """Requests created in so many days before ``as_of``; with counts by day, facts of the first day only."""
+    start = before(as_of, days)
+    recent = created_from(facts, start)
+    if by_day is not None:
+        first = F.to_date(start)
+        part = counted(recent.where(F.col("created_date") < F.date_add(first, 1).cast("timestamp_ntz")), [])
+        whole = by_day.where((F.col("request_date") > first) & (F.col("created_month") >= month_of(start)))
+        recent = part.unionByName(whole.select(*part.columns))
     return as_published(request_metrics(recent, [], ALL_METRICS))
 
 
-def requests_7d(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return trailing_window(facts, as_of, 7)
+def requests_7d(facts: DataFrame, as_of: datetime | None = None, by_day: DataFrame | None = None) -> DataFrame:
+    return trailing_window(facts, as_of, 7, by_day)
 
 
-def requests_30d(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return trailing_window(facts, as_of, 30)
+def requests_30d(facts: DataFrame, as_of: datetime | None = None, by_day: DataFrame | None = None) -> DataFrame:
+    return trailing_window(facts, as_of, 30, by_day)
 
 
 def by_volume(df: DataFrame, key: str) -> DataFrame:
@@ -79,7 +91,8 @@ def by_volume(df: DataFrame, key: str) -> DataFrame:
 
 
 def requests_by_borough(facts: DataFrame, dim_location: DataFrame) -> DataFrame:
-    placed = facts.join(dim_location.select("location_id", "borough"), "location_id")
+    places = dim_location.select("location_id", "borough")
+    placed = counted(facts, ["location_id"]).join(places, "location_id")
     metrics = COUNTS + ["pct_closed", "avg_resolution_hours", "median_resolution_hours"]
     return by_volume(as_published(request_metrics(placed, ["borough"], metrics)), "borough")
 
@@ -94,23 +107,23 @@ def requests_by_agency(facts: DataFrame, dim_agency: DataFrame) -> DataFrame:
 
 def complaint_type_metrics(facts: DataFrame, dim_complaint_type: DataFrame) -> DataFrame:
     """Descriptors of one complaint type collapse into it; unordered."""
-    typed = facts.join(
-        dim_complaint_type.select("complaint_type_id", "complaint_type"), "complaint_type_id"
-    )
+    types = dim_complaint_type.select("complaint_type_id", "complaint_type")
+    typed = counted(facts, ["complaint_type_id"]).join(types, "complaint_type_id")
     metrics = [m for m in ALL_METRICS if m != "open_count"]
     return as_published(request_metrics(typed, ["complaint_type"], metrics))
 
 
 def agency_metrics(facts: DataFrame, dim_agency: DataFrame) -> DataFrame:
     """Requests without an agency drop out here; unordered."""
-    owned = facts.join(dim_agency, "agency_id")
+    owned = counted(facts, ["agency_id"]).join(dim_agency, "agency_id")
     metrics = [m for m in ALL_METRICS if m != "median_resolution_hours"]
     result = request_metrics(owned, ["agency_code"], metrics)
     return as_published(result).withColumnRenamed("open_count", "open_backlog")
 
 
 def requests_by_day_of_week(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
-    dated = facts.join(dim_date.select("date_id", "day_of_week", "day_name"), "date_id")
+    days = dim_date.select("date_id", "day_of_week", "day_name")
+    dated = counted(facts, ["date_id"]).join(days, "date_id")
     metrics = ["total_count", "pct_closed", "avg_resolution_hours"]
     result = request_metrics(dated, ["day_of_week", "day_name"], metrics)
     return in_order(as_published(result), "day_of_week")
@@ -132,18 +145,17 @@ def backlog_aging(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 
 def all_views(gold: Gold, as_of: datetime | None) -> dict[str, DataFrame]:
-    facts = gold.facts()
-    dims = gold.dimensions()
+    facts, dims, by_day = gold.facts(), gold.dimensions(), gold.counted("day")
     return {
-        "v_requests_daily": requests_daily(facts),
-        "v_requests_7d": requests_7d(facts, as_of),
-        "v_requests_30d": requests_30d(facts, as_of),
-        "v_requests_by_borough": requests_by_borough(facts, dims["dim_location"]),
+        "v_requests_daily": requests_daily(by_day),
+        "v_requests_7d": requests_7d(facts, as_of, by_day),
+        "v_requests_30d": requests_30d(facts, as_of, by_day),
+        "v_requests_by_borough": requests_by_borough(gold.counted("location"), dims["dim_location"]),
         "v_requests_by_complaint_type": requests_by_complaint_type(
-            facts, dims["dim_complaint_type"]
+            gold.counted("complaint_type"), dims["dim_complaint_type"]
         ),
-        "v_requests_by_agency": requests_by_agency(facts, dims["dim_agency"]),
-        "v_requests_by_day_of_week": requests_by_day_of_week(facts, dims["dim_date"]),
+        "v_requests_by_agency": requests_by_agency(gold.counted("agency"), dims["dim_agency"]),
+        "v_requests_by_day_of_week": requests_by_day_of_week(by_day, dims["dim_date"]),
         "v_backlog_aging": backlog_aging(facts, as_of),
     }
 

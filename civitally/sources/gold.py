@@ -6,31 +6,60 @@ month is current stands in a manifest named by its version; the load is publishe
 by appending its version and id to the log of loads as the very last step.
 Readers open exactly the current folders, so an unfinished load is never seen
 and repeating it is harmless.
+
+Two small tables are kept beside the facts, folder for folder. ``key_filters`` holds a Bloom
+filter of a month's keys; with the month's key range in the manifest it tells a load which
+stored months its keys may lie in. ``counts`` holds the requests counted by day, place, type
+and agency with their state and hours, from which views are computed without facts.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timeparts import month_of, ntz
 from ..operators.dimensions import DIMENSIONS, Dimension, new_members, with_ids
+from ..operators.key_filter import blocks_for, build_filters, may_hold
 from ..operators.keys import resolve_keys
 from ..operators.merge import fold_by_key, merge_by_key
-from ..schemas import FACT
-from ..workspace import Workspace, concurrently, empty_table
+from ..operators.metrics import COUNT, HOURS
+from ..schemas import FACT, HOURS_TYPE
+from ..workspace import Workspace, concurrently, empty_table, local_table
+
+
+def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(*f) for f in fields])
+
+
+LONG, TEXT = T.LongType(), T.StringType()
+FOLDER = [("created_month", TEXT), ("load_id", TEXT)]
+LOADS = _schema(("version", LONG), ("load_id", TEXT))
+MONTH = _schema(("load_id", TEXT), ("keys", LONG), ("low", LONG), ("high", LONG), ("blocks", LONG))
+MANIFEST = _schema(("months", T.MapType(TEXT, MONTH)))
+STORED_FACT = T.StructType([*FACT.fields, *_schema(*FOLDER)])
+FILTERS = _schema(("block", LONG), *[(f"w{i}", LONG) for i in range(8)], *FOLDER)
 
-LOADS = T.StructType([T.StructField("version", T.LongType()), T.StructField("load_id", T.StringType())])
-MANIFEST = T.StructType([T.StructField("months", T.MapType(T.StringType(), T.StringType()))])
-STORED_FACT = T.StructType(
-    FACT.fields
-    + [T.StructField("created_month", T.StringType()), T.StructField("load_id", T.StringType())]
-)
+#: What requests are counted by: the kind of a count, and the columns that it fills.
+KINDS = {
+    "day": ["request_date", "date_id"],
+    "location": ["location_id"],
+    "complaint_type": ["complaint_type_id"],
+    "agency": ["agency_id"],
+}
+COUNTS = _schema(
+    ("request_date", T.DateType()), ("date_id", LONG), ("location_id", LONG), ("complaint_type_id", LONG), ("agency_id", LONG),
+    ("is_closed", T.BooleanType()), (HOURS, HOURS_TYPE), (COUNT, LONG), *FOLDER, ("kind", TEXT),
+)
+
+
+class BrokenConstraint(ValueError):
+    """A load would break a constraint of the fact table; nothing of it was published."""
 
 
 def _read_or_none(spark: SparkSession, schema: T.StructType, fmt: str, path: str) -> DataFrame | None:
@@ -68,48 +97,84 @@ class Gold:
         found = _read_or_none(self.spark, LOADS, "json", f"{self.root}/loads")
         return found if found is not None else empty_table(self.spark, LOADS)
 
-    def current_folders(self) -> tuple[int, dict[str, str]]:
-        """Version and month -> load of the newest manifest (one entry per month)."""
+    def manifest(self) -> tuple[int, dict[str, Row]]:
+        """Version and month -> its folder and keys, of the newest manifest (one entry per month)."""
         version = self._loads().agg(F.max("version")).first()[0] or 0
         if not version:
             return 0, {}
         newest = self.spark.read.schema(MANIFEST).json(self._manifest(version))
         return version, dict(newest.first()["months"])
 
+    def current_folders(self) -> tuple[int, dict[str, str]]:
+        """Version and month -> load of the newest manifest."""
+        version, months = self.manifest()
+        return version, {m: state["load_id"] for m, state in months.items()}
+
     def _manifest(self, version: int) -> str:
         return f"{self.root}/manifest/{version:012d}"
 
-    def _months(self, months: dict[str, str]) -> DataFrame:
+    def _folders(self, table: str, schema: T.StructType, months: dict[str, str], below: str = "") -> DataFrame:
+        """Exactly the folders of these months."""
         if not months:
-            return empty_table(self.spark, STORED_FACT)
-        base = f"{self.root}/facts"
-        folders = [f"{base}/created_month={m}/load_id={v}" for m, v in sorted(months.items())]
-        return self.spark.read.schema(STORED_FACT).option("basePath", base).parquet(*folders)
+            return empty_table(self.spark, schema)
+        base = f"{self.root}/{table}"
+        folders = [f"{base}/created_month={m}/load_id={v}{below}" for m, v in sorted(months.items())]
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*folders)
+
+    def _months(self, months: dict[str, str]) -> DataFrame:
+        return self._folders("facts", STORED_FACT, months)
 
     def facts(self) -> DataFrame:
         return self._months(self.current_folders()[1]).drop("load_id")
 
-    def _home_months(self, keyed: DataFrame, months: dict[str, str], low: int, high: int) -> list[str]:
+    def counted(self, kind: str) -> DataFrame:
+        """Requests counted by day, place, type or agency, with their state and hours."""
+        found = self._folders("counts", COUNTS, self.current_folders()[1], f"/kind={kind}")
+        return found.select(*KINDS[kind], "is_closed", HOURS, COUNT, "created_month")
+
+    def _located(self, keyed: DataFrame, months: dict[str, Row], low: int, high: int, ws: Workspace) -> DataFrame:
+        """``unique_key, created_month`` of the batch's keys that are stored.
+
+        Key ranges first, then the filters of the months in range, and only months whose
+        filter holds a key of the batch have their key column read.
+        """
+        near = {m: s for m, s in months.items() if s["low"] <= high and s["high"] >= low}
+        ranges = local_table(
+            self.spark,
+            _schema(("created_month", TEXT), ("low", LONG), ("high", LONG), ("blocks", LONG)),
+            [list(near), *[[s[c] for s in near.values()] for c in ("low", "high", "blocks")]],
+        )  # a row per month, so the range join sends it to every task
+        keys = keyed.select("unique_key")
+        asked = keys.join(F.broadcast(ranges), F.col("unique_key").between(F.col("low"), F.col("high")))
+        filters = self._folders("key_filters", FILTERS, {m: s["load_id"] for m, s in near.items()})
+        asked = asked.select("unique_key", "created_month", "blocks")
+        maybe = ws.stage(may_hold(asked, "unique_key", filters, "created_month", "blocks"), "maybe")
+        open_ = [r[0] for r in maybe.select("created_month").distinct().collect()]  # months
+        stored = self._months({m: months[m]["load_id"] for m in open_}).select("unique_key", "created_month")
+        return maybe.select("unique_key", "created_month").join(stored, ["unique_key", "created_month"], "left_semi")
+
+    def _home_months(self, keyed: DataFrame, months: dict[str, Row], low: int, high: int, ws: Workspace) -> list[str]:
         """Months the batch belongs to: the stored month of known keys, else its own.
 
-        A stored request stays in the month it was first seen in, so known keys are
-        looked up, reading only the key column of row groups in the batch's key range.
+        A stored request stays in the month it was first seen in.
         """
-        arriving = keyed.select("unique_key", month_of(F.col("created_date")).alias("own_month"))
-        stored = (
-            self._months(months)
-            .where(F.col("unique_key").between(low, high))
-            .select("unique_key", "created_month")
-        )
-        located = arriving.join(stored, "unique_key", "left")
+        own = month_of(F.col("created_date"))
+        if not months:
+            return [r[0] for r in keyed.select(own).distinct().collect()]
+        located = self._located(keyed, months, low, high, ws)
+        arriving = keyed.select("unique_key", own.alias("own_month")).join(located, "unique_key", "left")
         home = F.coalesce("created_month", "own_month")
-        return [r[0] for r in located.select(home).distinct().collect()]
+        return [r[0] for r in arriving.select(home).distinct().collect()]
 
     def loaded(self, load_id: str) -> bool:
         return not self._loads().where(F.col("load_id") == load_id).isEmpty()
 
     def upsert_facts(self, keyed: DataFrame, load_id: str, loaded_at: datetime) -> int:
-        """Merge staged fact rows by key and switch the touched months; returns the batch size."""
+        """Merge staged fact rows by key and switch the touched months; returns the batch size.
+
+        The constraints of the table are checked on the months as written. If one is broken the
+        load is not published, and the version before stays current.
+        """
         broken = F.col("unique_key").isNull() | F.col("created_date").isNull()
         size = keyed.agg(
             F.count("*").alias("n"),
@@ -121,30 +186,99 @@ class Gold:
             raise ValueError(f"{size['bad']} rows lack unique_key or created_date")
         if size["n"] == 0:
             return 0
-        version, months = self.current_folders()
-        homes = self._home_months(keyed, months, size["low"], size["high"])
+        version, months = self.manifest()
+        with Workspace(self.spark, "locate") as ws:
+            homes = self._home_months(keyed, months, size["low"], size["high"], ws)
         batch = keyed.withColumn("created_at", ntz(loaded_at)).select(*[f.name for f in FACT])
-        old_months = {m: months[m] for m in homes if m in months}
+        old_months = {m: months[m]["load_id"] for m in homes if m in months}
         if old_months:
             old = self._months(old_months).select(*[f.name for f in FACT])
             batch = merge_by_key(old, batch)
         out = batch.withColumns(
             {"created_month": month_of(F.col("created_date")), "load_id": F.lit(load_id)}
         )
+        seen = Observation()
+        # AQE sizes the files: large months are split, small ones share a task. Within a
+        # file rows lie by creation time, so row groups answer time windows.
+        laid = out.hint("rebalance", F.col("created_month")).sortWithinPartitions(
+            "created_month", "load_id", "created_date"
+        )
+        mandatory = ["unique_key", "created_date", "is_closed"]
+        laid = laid.observe(seen, *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in mandatory])
+        self._write(laid, "facts", "created_month", "load_id")
+        written = {m: load_id for m in homes}
+        states, dangling = concurrently(
+            self.spark, partial(self._write_filters, written), partial(self._write_counts, written)
+        )
+        repeated = {"duplicate_keys": sum(s.pop("repeated") for s in states.values())}
+        problems = {name: n for name, n in (seen.get | repeated | dangling).items() if n}
+        if problems:
+            raise BrokenConstraint(f"load {load_id} breaks the fact table: {problems}")
+        self._publish(version + 1, load_id, months | {m: Row(**{c: s[c] for c in MONTH.names}) for m, s in states.items()})
+        return size["n"]
+
+    def _write(self, rows: DataFrame, table: str, *folders: str) -> None:
         (
-            # AQE sizes the files: large months are split, small ones share a task. Within a
-            # file rows lie by creation time, so row groups answer time windows.
-            out.hint("rebalance", F.col("created_month"))
-            .sortWithinPartitions("created_month", "load_id", "created_date")
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("created_month", "load_id")
-            .parquet(f"{self.root}/facts")
+            .partitionBy(*folders)
+            .parquet(f"{self.root}/{table}")
         )
-        self._publish(version + 1, load_id, {**months, **{m: load_id for m in homes}})
-        return size["n"]
 
-    def _publish(self, version: int, load_id: str, months: dict[str, str]) -> None:
+    def _write_filters(self, written: dict[str, str]) -> dict[str, dict]:
+        """Filters of the months as written; returns the months' manifest entries.
+
+        Keys are counted too (``repeated``: how many rows of keys held before). Only the key column is read.
+        """
+        keys = self._months(written).groupBy("created_month", "load_id", "unique_key").agg(F.count("*").alias("n"))
+        per_month = keys.groupBy("created_month", "load_id").agg(
+            F.count("*").alias("keys"),
+            F.min("unique_key").alias("low"),
+            F.max("unique_key").alias("high"),
+            (F.sum("n") - F.count("*")).alias("repeated"),
+        )
+        states = {r["created_month"]: r.asDict() for r in per_month.collect()}  # a row per month
+        for state in states.values():
+            state["blocks"] = blocks_for(state["keys"])
+            del state["created_month"]
+        sizes = local_table(
+            self.spark,
+            _schema(("created_month", TEXT), ("blocks", LONG)),
+            [list(states), [s["blocks"] for s in states.values()]],
+        )
+        groups = ["created_month", "load_id"]
+        sized = self._months(written).select(*groups, "unique_key").join(F.broadcast(sizes), "created_month")
+        built = build_filters(sized, "unique_key", groups, "blocks")
+        self._write(built.hint("rebalance", F.col("created_month")), "key_filters", *groups)
+        return states
+
+    def _write_counts(self, written: dict[str, str]) -> dict[str, int]:
+        """Counts of the months as written, in one scan; returns the rows whose ids point nowhere."""
+        facts = self._months(written).withColumn("request_date", F.to_date("created_date"))
+        state = ["created_month", "load_id", "is_closed", HOURS]
+        by = [c for columns in KINDS.values() for c in columns]
+        counts = facts.groupingSets([[*state, *columns] for columns in KINDS.values()], *state, *by).agg(
+            F.count("*").alias(COUNT), *[F.grouping(c).alias(f"_{c}") for c in by]
+        )
+        kind: Column = reduce(
+            lambda other, k: F.when(F.col(f"_{KINDS[k][0]}") == 0, k).otherwise(other), KINDS, F.lit(None)
+        )
+        named = counts.withColumn("kind", kind).drop(*[f"_{c}" for c in by])
+        self._write(named.hint("rebalance", "created_month", "kind"), "counts", "created_month", "load_id", "kind")
+        return self._dangling(self._folders("counts", COUNTS, written))
+
+    def _dangling(self, counts: DataFrame) -> dict[str, int]:
+        """Counted requests with an id that its dimension lacks; null ids are none."""
+        found = {}
+        for dim in DIMENSIONS:
+            ids = self.dimension(dim).select(dim.id_column)
+            used = counts.where(F.col(dim.id_column).isNotNull()).groupBy(dim.id_column).agg(F.sum(COUNT).alias("n"))
+            lost = used.join(ids, dim.id_column, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)))
+            found[f"dangling_{dim.id_column}"] = lost
+        one = reduce(DataFrame.union, [df.select(F.lit(k).alias("k"), "*") for k, df in found.items()])
+        return {r[0]: r[1] for r in one.collect()}  # a row per dimension
+
+    def _publish(self, version: int, load_id: str, months: dict[str, Row]) -> None:
         manifest = self.spark.createDataFrame([(months,)], MANIFEST).coalesce(1)
         manifest.write.mode("overwrite").json(self._manifest(version))
         load = self.spark.createDataFrame([(version, load_id)], LOADS).coalesce(1)

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from civitally.operators import impute as impute_module
 from civitally.operators.cleaning import cast_columns, clean, drop_unused
 from civitally.operators.dedup import keep_one_per_key
 from civitally.operators.enrich import enrich, imputation_stats
@@ -151,17 +152,37 @@ def test_fill_ignores_absent_groups(spark):
 
 def test_dedup_null_keys_are_one_key(spark):
     df = spark.createDataFrame(
-        [(None, 3, "c"), (None, 1, "a"), (7, 2, "b"), (7, 4, "d")], "unique_key bigint, row_order bigint, v string"
+        [(None, 3, "c"), (None, 1, "a"), (7, 2, "b"), (7, 4, "d"), (8, 9, "e")], "unique_key bigint, row_order bigint, v string"
     )
-    assert sorted(r["v"] for r in keep_one_per_key(df).collect()) == ["a", "b"]
-    assert sorted(r["v"] for r in keep_one_per_key(df, keep="last").collect()) == ["c", "d"]
-
-
-def test_dedup_limits_before_the_shuffle(spark):
-    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    df = orders.selectExpr("o_custkey unique_key", "o_orderkey row_order", "o_orderstatus")
-    plan = keep_one_per_key(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Partial" in plan and "WindowGroupLimit" in plan
+    kept = {k: sorted(r["v"] for r in keep_one_per_key(df, Workspace(spark), keep=k).collect()) for k in ("first", "last")}
+    assert kept == {"first": ["a", "b", "e"], "last": ["c", "d", "e"]}
+    with pytest.raises(ValueError):
+        keep_one_per_key(df, Workspace(spark), keep="any")
+
+
+@pytest.mark.parametrize("keep", ["first", "last"])
+def test_dedup_of_hot_keys_and_ties(spark, keep):
+    """A third of all rows has the null key; some rows of a key tie in their order."""
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, rnd.randrange(150), i]), rnd.randrange(3), rnd.randrange(400), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "unique_key bigint, page int, row_order bigint, v int").repartition(6, "v")
+    for scope in ((), ("page",)):
+        got = keep_one_per_key(df, Workspace(spark), scope=scope, keep=keep).collect()
+        best = {}
+        for k, p, o, _ in rows:
+            best.setdefault((k, p if scope else 0), []).append(o)
+        want = sorted(((k, p, (min if keep == "first" else max)(o)) for (k, p), o in best.items()), key=repr)
+        assert sorted(((r["unique_key"], r["page"] if scope else 0, r["row_order"]) for r in got), key=repr) == want
+
+
+def test_dedup_shuffles_no_wide_rows(spark, tmp_path):
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").write.parquet(f"{tmp_path}/o")
+    df = spark.read.parquet(f"{tmp_path}/o").selectExpr("o_custkey % 1400 unique_key", "o_orderkey row_order", "*")
+    kept = keep_one_per_key(df, Workspace(spark))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    assert "hashpartitioning" not in plan and "Window" not in plan
+    assert kept.count() == df.select("unique_key").distinct().count()
 
 
 def test_columns(spark):
@@ -183,3 +204,23 @@ def test_enrich_uses_only_the_closing_date(spark, ntz_rows):
     rows = enrich(df).collect()
     assert [(r["is_closed"], r["resolution_time_in_hours"]) for r in rows] == [(True, -12.0), (False, None)]
     assert ZIP_FLAG not in enrich(df).columns
+
+
+def test_lookups_by_zip_are_staged_and_spread(spark, monkeypatch):
+    """Beyond the broadcast limit a hot zip goes to several tasks, and no lookup is an open aggregate."""
+    rows = [(i, 0, i, 40.0 + i / 99, -70.0, "B", f"C{i % 3}", 7 if i % 3 else 8, i % 4 if i % 9 < 2 else None) for i in range(300)]
+    ddl = "unique_key long, page int, row_order long, latitude double, longitude double, borough string, community_board string, incident_zip long, council_district long"
+    df = spark.createDataFrame(rows, ddl)
+    ws = Workspace(spark)
+    places = impute_module.place_summary(df, "row_order", []).withColumns({"zip1": F.col("incident_zip"), "zip2": F.col("incident_zip")})
+    places = ws.stage(places, "places")
+    by_zip = ws.stage(impute_module.district_by_zip(places, []), "zips")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_board = impute_module.district_by_board(places, by_zip, [])
+        plan = by_board._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan.split("SortMergeJoin")[1].split("\n")[0]
+        assert plan.count("min_by") <= 2  # the aggregate by board alone
+        assert {r["community_board"]: r["_board_district"] for r in by_board.collect()} == {"C0": 0, "C1": 1, "C2": 1}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
