@@ -22,12 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..workspace import local_table
 from .common import record_batch, unwrapped, utf8, whole_rows
 
 BUCKETS = 8192
 DIM = 24
 TRAIN_ROWS = 4000
-MAX_LANGUAGES = 256
+LEAST_ROWS = 8
 EPOCHS = 12
 BATCH = 32
 RATE = 40.0
@@ -76,7 +77,7 @@ def has_letter(text: bytes) -> bool:
     folded = text.translate(_LETTERS)
     if not folded.strip():
         return False
-    return any(97 <= b <= 122 for b in folded) or any(map(str.isalpha, text.decode()))
+    return any(97 <= b <= 122 for b in folded) or any(map(str.isalpha, text.decode("utf-8", "replace")))
 
 
 @dataclass
@@ -191,10 +192,10 @@ def _calibrated(model: Model, rows: list, label: np.ndarray, check: np.ndarray)
 
     model.temperature = min(np.geomspace(0.2, 5, 33), key=loss)
     p = p_at(model.temperature)
-    right = np.sort(p.max(1)[p.argmax(1) == truth])
-    below = int(FALSE_REJECT * (len(right) + 1))
-    if below:  # too few rows to tell where so few of them lie: nothing is rejected by score
-        model.threshold = min(float(right[below - 1]), SURE)
+    right = p.max(1)[p.argmax(1) == truth]
+    # a value of the sample, so that neither its size nor repeated rows matter
+    low = float(np.quantile(right, FALSE_REJECT, method="inverted_cdf")) if len(right) else SURE
+    model.threshold = min(low, SURE)
     return model
 
 
@@ -206,18 +207,22 @@ def train(docs: DataFrame) -> Model:
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS))
     known = docs.where((fold != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select("lang", "text", F.xxhash64("doc_id").alias("order"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    # texts are counted by distinct ids, which repeated rows do not change
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("order").alias("count")).collect()  # a row per label
     languages = sorted(r["lang"] for r in counts)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32))
-    share, parts = TRAIN_ROWS / len(languages), 1 << 20
-    chosen = F.lit(False)
-    for r in counts:
-        cut = min(parts, int(parts * share / r["count"]) + 1)
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.pmod(F.shiftright("order", 8), F.lit(parts)) < cut))
-    sample = known.where(chosen).select("lang", "order", utf8().alias("text")).limit(2 * TRAIN_ROWS)
-    rows = [r.asDict() for r in _sampled_counts(sample).collect()]
-    rows.sort(key=lambda r: (r["order"], bytes(r["buckets"])))
+    share, parts = max(TRAIN_ROWS / len(languages), LEAST_ROWS), 1 << 20
+    cut = {r["lang"]: min(parts, int(parts * share / max(1, r["count"])) + 1) for r in counts}
+    cuts = local_table(
+        docs.sparkSession,
+        T.StructType().add("lang", T.StringType()).add("cut", T.LongType()),
+        [list(cut), list(cut.values())],
+    )
+    near = known.join(F.broadcast(cuts), "lang").where(F.pmod(F.shiftright("order", 8), F.lit(parts)) < F.col("cut"))
+    sample = near.select("lang", "order", utf8().alias("text")).dropDuplicates()
+    rows = [r.asDict() for r in _sampled_counts(sample).limit(int(4 * share * len(languages))).collect()]
+    rows.sort(key=lambda r: (r["order"], r["lang"], bytes(r["buckets"]), bytes(r["counts"])))
     return fit(rows, languages)
 
 

@@ -45,3 +45,33 @@ def test_counts_do_not_depend_on_chunks(monkeypatch):
     whole = langid.bucket_counts(text.encode())
     monkeypatch.setattr(langid, "_CHUNK", 37)
     assert (langid.bucket_counts(text.encode()) == whole).all() and whole.sum() > 0
+
+
+def verdicts(spark, docs):
+    model = langid.train(docs)
+    rows = langid.identify(spark.read.parquet(f"{SF}/documents.parquet"), model).collect()
+    return {r.doc_id: (r.lang_pred, round(r.score, 6), r.rejected) for r in rows}, model
+
+
+def test_repeated_rows_change_no_verdict(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 400")
+    once, model = verdicts(spark, docs)
+    again, doubled = verdicts(spark, docs.union(docs).union(docs))
+    assert once == again and model.threshold == doubled.threshold > 0
+
+
+def test_gibberish_is_rejected_at_any_size(spark, docs_of):
+    for n in (60, 400):
+        rows = [(i, "the thing and that was here " * 3, "en", "s", 1) for i in range(n)]
+        rows += [(1000 + i, "der und die das nicht auch ein " * 3, "de", "s", 1) for i in range(n)]
+        assert langid.train(docs_of(rows)).threshold > 0.1
+
+
+def test_every_label_is_learned(docs_of, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 200)
+    rows = [(i, f"w{chr(97 + i % 20)}x " * 9, f"l{i % 300}", "s", 1) for i in range(1500)]
+    assert len(langid.train(docs_of(rows)).languages) == 300
+
+
+def test_bytes_that_are_no_text():
+    assert not langid.has_letter(b"\xff\xfe 12") and langid.has_letter(b"\xff a") and langid.has_letter("ж".encode())
