@@ -37,6 +37,10 @@ from ..workspace import Workspace
 
 FAN_IN = 64
 MAX_PERIOD = 12
+
+#: Fixed value: elements open at once; a further one takes the place of the innermost, as in
+#: browsers. Only the tree gets no deeper, no text is lost.
+MAX_DEPTH = 512
 LINKS = 0.6
 SHARE = 0.5
 #: Different pages a variant must have before equal texts count as its template.
@@ -44,7 +48,8 @@ TEMPLATE_PAGES = 3
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|textarea|title|svg|iframe|select)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<svg(?=[\s/>])[^>]*/>"
+    r"|<(?P<raw>script|style|template|noscript|textarea|title|svg|iframe|select)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|(?P<text>[^<]+|<)",
@@ -120,6 +125,8 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
             continue
         if name in NOT_IN_P and stack and stack[-1] == "p" or stack and name == stack[-1] and name in ("li", "tr", "td", "th", "dt", "dd", "option"):
             yield "close", stack.pop()
+        if len(stack) == MAX_DEPTH:
+            yield "close", stack.pop()
         stack.append(name)
         yield "open", element(name, m["attrs"])
     while stack:

@@ -144,3 +144,22 @@ def test_differing_texts_become_slots(one, two, wrapper):
 def test_repeats_of_repeats():
     row = ["<tr", "<td", "#", "</td", "<td", "#", "</td", "</tr"]
     assert w.collapse(row * 3) == [["+", ["<tr", ["+", ["<td", "#", "</td"]], "</tr"]]]
+
+
+def test_custom_elements_and_self_closing_svg(spark, ws):
+    text = "<p>first</p>{}<p>second</p>"
+    odd = ["<select-box>x</select-box>", "<title-bar/>", "<svg width=1 />", "<svg/>", "<svg><path/></svg>", "<style-guide>", "<script-x></script-x>"]
+    pages = [(i, None, f"<body><article>{text.format(o)}</article></body>") for i, o in enumerate(odd)]
+    want = [(i, "first\nx\nsecond" if i == 0 else "first\nsecond") for i in range(len(odd))]
+    assert read(spark, ws, pages) == want
+
+
+def test_twenty_thousand_open_elements_take_little_memory():
+    import tracemalloc
+
+    page = "<article>" + "".join(f"<div>x{i}" for i in range(20_000))
+    tracemalloc.start()
+    out, slots = w.stream(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000 and sum(sum(v) for v in slots.values()) == sum(len(f"x{i}") for i in range(20_000))
