@@ -82,6 +82,15 @@ def new_members(members: DataFrame, existing: DataFrame, key: list[str]) -> Data
     return members.join(existing.select(*key), key, "left_anti")
 
 
+def met_by(existing: DataFrame, members: DataFrame, key: list[str]) -> DataFrame:
+    """The stored members that a batch refers to; ``members`` is the batch's staged list of them.
+
+    A daily batch meets few of the places ever seen. What is left of the dimension is small
+    enough to send to the wide rows, even where the dimension itself is not.
+    """
+    return existing.join(members.select(*key), key, "left_semi")
+
+
 def with_ids(fresh: DataFrame, dim: Dimension, highest: int) -> DataFrame:
     """Number new members above ``highest``; stored ids never change.
 

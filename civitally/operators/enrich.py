@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import display_round, ratio_pct
@@ -20,17 +20,25 @@ def enrich(df: DataFrame) -> DataFrame:
     ).drop(ZIP_FLAG)
 
 
-def imputation_stats(cleaned: DataFrame) -> DataFrame:
-    """One row: how many zips were null, got filled, or stayed null, with shares."""
-    counts = cleaned.agg(
+def imputation_metrics() -> list[Column]:
+    """Aggregates behind the statistics; a write may observe them as its rows pass."""
+    return [
         F.count("*").alias("total"),
         F.count_if(ZIP_FLAG).alias("filled"),
         F.count_if(F.col("incident_zip").isNull()).alias("still_null"),
-    ).withColumn("originally_null", F.col("filled") + F.col("still_null"))
+    ]
+
+
+def imputation_shares(counts: DataFrame) -> DataFrame:
+    """The statistics from their aggregates."""
+    counts = counts.withColumn("originally_null", F.col("filled") + F.col("still_null"))
     share = {
         f"{c}_pct": display_round(ratio_pct(F.col(c), F.col("total")), 1)
         for c in ("originally_null", "filled", "still_null")
     }
-    return counts.withColumns(share).select(
-        "total", "originally_null", "filled", "still_null", *share
-    )
+    return counts.withColumns(share).select("total", "originally_null", "filled", "still_null", *share)
+
+
+def imputation_stats(cleaned: DataFrame) -> DataFrame:
+    """One row: how many zips were null, got filled, or stayed null, with shares."""
+    return imputation_shares(cleaned.agg(*imputation_metrics()))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timeparts import month_of, ntz
-from ..operators.dimensions import DIMENSIONS, Dimension, new_members, with_ids
+from ..operators.dimensions import DIMENSIONS, Dimension, met_by, new_members, with_ids
 from ..operators.key_filter import blocks_for, build_filters, may_hold
 from ..operators.keys import resolve_keys
 from ..operators.merge import fold_by_key, merge_by_key
@@ -85,9 +85,26 @@ class Gold:
     def dimensions(self) -> dict[str, DataFrame]:
         return {d.name: self.dimension(d) for d in DIMENSIONS}
 
+    def dimensions_of(self, batch: DataFrame, ws: Workspace) -> dict[str, DataFrame]:
+        """Insert the members that a batch brings, and return the members that it refers to.
+
+        The batch's members are listed once, for both.
+        """
+
+        def one(dim: Dimension) -> DataFrame:
+            members = ws.stage(dim.members(batch), f"members-{dim.name}")
+            self._append_members(dim, members)
+            return met_by(self.dimension(dim), members, dim.key)
+
+        found = concurrently(self.spark, *[partial(one, dim) for dim in DIMENSIONS])
+        return {dim.name: df for dim, df in zip(DIMENSIONS, found)}
+
     def append_new_members(self, dim: Dimension, batch: DataFrame) -> None:
+        self._append_members(dim, dim.members(batch))
+
+    def _append_members(self, dim: Dimension, members: DataFrame) -> None:
         stored = self.dimension(dim)
-        fresh = new_members(dim.members(batch), stored, dim.key)
+        fresh = new_members(members, stored, dim.key)
         highest = stored.agg(F.max(dim.id_column)).first()[0] or 0
         with_ids(fresh, dim, highest).write.mode("append").parquet(f"{self.root}/{dim.name}")
 
@@ -304,6 +321,5 @@ def upsert(
         order = "_order"
         silver = silver.withColumn(order, F.monotonically_increasing_id())
     silver = ws.stage(fold_by_key(silver, order), "folded")
-    concurrently(gold.spark, *[partial(gold.append_new_members, dim, silver) for dim in DIMENSIONS])
-    keyed = ws.stage(resolve_keys(silver, gold.dimensions()), "keyed")
+    keyed = ws.stage(resolve_keys(silver, gold.dimensions_of(silver, ws)), "keyed")
     return gold.upsert_facts(keyed, load_id, loaded_at)

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from test_load import load, request, silver  # noqa: F401
 
 from civitally.operators import checks
+from civitally.operators.dimensions import met_by
 from civitally.operators.key_filter import BITS_PER_KEY, BLOCK_BITS, blocks_for, build_filters, may_hold
 from civitally.operators.keys import resolve_keys
 from civitally.operators.metrics import counted
 from civitally.plans import views
 from civitally.sources.gold import KINDS, BrokenConstraint, Gold
+from civitally.workspace import Workspace
 
 AS_OF = datetime(2024, 6, 20, 15, 30)
 
@@ -121,3 +123,21 @@ def test_broken_constraints_publish_nothing(silver, load, half_year, ntz_rows):
     assert checks.key_violations(gold.facts(), "facts").first().asDict() | {"table_name": ""} == {
         "table_name": "", "null_keys": 0, "duplicate_keys": 0, "null_created_date": 0, "null_is_closed": 0,
     }
+
+
+def test_only_members_a_batch_refers_to_are_read(spark, silver, load):  # noqa: F811
+    load(silver(*[request(i, "2024-01-01 00:00:00", borough=f"B{i}") for i in range(200)]), "a")
+    batch = silver(request(900, "2024-01-05 00:00:00", borough="B7"), request(901, "2024-01-01 00:00:00", borough="new"))
+    met = load.gold.dimensions_of(batch, Workspace(spark))
+    assert {n: df.count() for n, df in met.items()} == {"dim_date": 2, "dim_agency": 1, "dim_complaint_type": 1, "dim_location": 2}
+    stored = load.gold.dimensions()["dim_location"]
+    assert stored.count() == 201
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = met_by(stored, batch.select("borough").withColumn("x", F.lit(1)), ["borough"])
+        assert "LeftSemi" in plan._jdf.queryExecution().executedPlan().toString()
+        want = rows(resolve_keys(batch, load.gold.dimensions()))
+        assert rows(resolve_keys(batch, met)) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert load(batch, "b") == 2

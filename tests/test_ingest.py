@@ -1,18 +1,20 @@
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from civitally.operators.extract import advance_watermark, changed_since
 from civitally.plans import jobs
 from civitally.plans.registry import _star
 from civitally.sources import adapters as src
+from civitally.sources import bronze as bronze_module
 from civitally.sources.bronze import land_pages, read_pages
 from civitally.sources.gold import Gold
 from civitally.sources.state import choose_start, load_state, save_state
-from civitally.streaming.incremental import run_incremental
+from civitally.streaming.incremental import LoadReport, run_incremental
 
 LATER = datetime(2030, 1, 1)
 DDL = "unique_key bigint, created_date string, resolution_action_updated_date string"
@@ -249,3 +251,79 @@ def test_views_move_with_the_clock_and_see_the_stream(spark, tmp_path):
     assert land(1, 1) == 3
     assert land(20, 2) == 3  # outside the window
     assert land(2, 3) == 6
+
+
+def test_ingest_measures_while_it_lands(spark, tmp_path, monkeypatch):
+    """Nothing landed is read back for the mark or the count."""
+    monkeypatch.setattr(jobs, "read_pages", lambda *_, **__: pytest.fail("read back"))
+    monkeypatch.setattr(bronze_module, "_read_alike", lambda *_: pytest.fail("read back"))
+    data = rows(*[(f"2024-01-{1 + i % 9:02d}T08:00:00", "2024-01-20T10:00:00" if i == 77 else None) for i in range(300)])
+    source = spark.createDataFrame(data, DDL).repartition(5)
+    _, mark = jobs.ingest(source, f"{tmp_path}/bronze/x", f"{tmp_path}/state", LATER, start=datetime(2024, 1, 1))
+    assert mark == datetime(2024, 1, 20, 10)
+    state = json.loads(next(Path(f"{tmp_path}/state").glob("*.json")).read_text())
+    assert state["total_records_fetched"] == 300
+
+
+def test_silver_write_measures_imputation(spark, tmp_path):
+    full = src.history(spark, "/root/testdata/sf0.001")
+    pages = land_pages(src.as_text(full), f"{tmp_path}/bronze/s", datetime(1990, 1, 1))
+    stats = Observation()
+    silver = spark.read.parquet(jobs.build_silver(spark, pages, stats=stats))
+    lacking = full.where("incident_zip is null").count()
+    assert stats.get["total"] == full.count() == silver.count()
+    assert stats.get["filled"] + stats.get["still_null"] == lacking
+    assert stats.get["still_null"] == silver.where("incident_zip is null").count()
+
+
+def test_a_bounded_read_opens_only_its_runs(spark, tmp_path):
+    df = spark.range(3).selectExpr("cast(id as string) unique_key", "'2024-01-01' created_date", "cast(null as string) v")
+    for month in (1, 2, 3):
+        land_pages(df, f"{tmp_path}/bronze/daily", datetime(2024, month, 1))
+    nested = land_pages(df, f"{tmp_path}/bronze/other/date=2024-02-01", datetime(2024, 1, 15))
+    (tmp_path / "bronze/daily/2024-03-01/broken.csv").write_text("x,y\n1,2\n")  # would stop a read of that run
+    (tmp_path / "bronze/loose.csv").write_text("unique_key\n9\n")
+    bound = {"since": date(2024, 1, 2), "until": date(2024, 2, 28)}
+    got = read_pages(spark, f"{tmp_path}/bronze", **bound)
+    assert {f.rsplit("/bronze/", 1)[1].split("/part")[0] for f in got.inputFiles()} == {
+        "daily/2024-02-01", "other/date=2024-02-01/2024-01-15",
+    }
+    assert got.count() == 6 and nested.endswith("2024-01-15")
+    with pytest.raises(ValueError, match="no CSV files"):
+        read_pages(spark, f"{tmp_path}/bronze", since=date(2025, 1, 1))
+    with pytest.raises(Exception):
+        read_pages(spark, f"{tmp_path}/bronze/daily", since=date(2024, 3, 1)).collect()
+
+
+def test_row_number_column_is_not_overwritten(spark, tmp_path):
+    df = spark.sql("select '1' unique_key, '2024-01-01' created_date, 'mine' _row")
+    with pytest.raises(ValueError, match="_row"):
+        land_pages(df, f"{tmp_path}/b", datetime(2024, 1, 1))
+
+
+def test_stream_pages_are_whole_whatever_the_file_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bronze_module, "PAGE_ROWS", 100)
+    full = src.history(spark, "/root/testdata/sf0.001")
+    bronze, found, reports = f"{tmp_path}/bronze/d", [], []
+    land_pages(src.as_text(full), bronze, datetime(1990, 1, 1), file_rows=750)  # seven pages and a half
+    for n in (1, 1000):
+        report = LoadReport()
+        run_incremental(
+            spark, bronze, f"{tmp_path}/g{n}", f"{tmp_path}/cp{n}", src.HISTORY_AS_OF, max_files=n, page_rows=100, report=report
+        )
+        star = _star(Gold(spark, f"{tmp_path}/g{n}"))
+        found.append(sorted(map(str, star.select(*[c for c in star.columns if not c.endswith("_id")]).collect())))
+        reports.append(report)
+    assert found[0] == found[1]
+    n = full.count()
+    files = -(-n // 700)
+    assert [(r.batches, r.rows_loaded) for r in reports] == [(files, n), (1, n)]
+    assert [sum(r.files.values()) for r in reports] == [files, files] and set(reports[0].files) == set(reports[0].rows)
+
+
+def test_stream_refuses_cut_pages(spark, tmp_path):
+    bronze = f"{tmp_path}/bronze/d"
+    land_pages(src.as_text(src.history(spark, "/root/testdata/sf0.001").limit(100)), bronze, datetime(1990, 1, 1), file_rows=30)
+    with pytest.raises(Exception, match="cut pages"):
+        run_incremental(spark, bronze, f"{tmp_path}/g", f"{tmp_path}/cp", src.HISTORY_AS_OF, max_files=1, page_rows=100)
+    assert Gold(spark, f"{tmp_path}/g").facts().isEmpty()
