@@ -86,10 +86,6 @@ def _star(gold: Gold) -> DataFrame:
 # ---- helpers to register view queries --------------------------------------------
 
 
-def _on_facts(which: str, fn: Callable[..., DataFrame], *args) -> Query:
-    return lambda spark, d: fn(_gold(spark, d, which).facts(), *args)
-
-
 def _on_days(which: str, fn: Callable[..., DataFrame], *args) -> Query:
     """Over the counts by day alone."""
     return lambda spark, d: fn(_gold(spark, d, which).counted("day"), *args)
@@ -471,8 +467,8 @@ QUERIES: dict[str, Query] = {
     "requests_by_complaint_type": BY_TYPE,
     "requests_by_agency": BY_AGENCY,
     "requests_by_day_of_week": _on_dim(views.requests_by_day_of_week, "dim_date", "day"),
-    "backlog_aging": _on_facts("history", views.backlog_aging, A_NOW),
-    "backlog_aging_dense": _on_facts("dense", views.backlog_aging, B_NOW),
+    "backlog_aging": _trailing("history", views.backlog_aging, A_NOW),
+    "backlog_aging_dense": _trailing("dense", views.backlog_aging, B_NOW),
     # published summaries and roll-ups
     "daily_30d_summary": _on_days("dense", summaries.daily_30d_summary, B_NOW),
     "daily_chart_series": _on_days("dense", summaries.daily_chart_series, B_NOW),
@@ -484,7 +480,7 @@ QUERIES: dict[str, Query] = {
     "agency_headline": _then(AGENCIES, headlines.agency_headline),
     "complaints_headline": _then(TYPES, headlines.complaints_headline),
     "backlog_share": _then(
-        _on_facts("history", views.backlog_aging, A_NOW), headlines.backlog_share
+        _trailing("history", views.backlog_aging, A_NOW), headlines.backlog_share
     ),
     "borough_cards": _then(BY_BOROUGH, headlines.borough_cards),
 }

@@ -129,19 +129,35 @@ def requests_by_day_of_week(facts: DataFrame, dim_date: DataFrame) -> DataFrame:
     return in_order(as_published(result), "day_of_week")
 
 
-def backlog_aging(facts: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Open requests in four age bands; a creation date ahead of now counts as youngest."""
+def backlog_aging(
+    facts: DataFrame, as_of: datetime | None = None, by_day: DataFrame | None = None
+) -> DataFrame:
+    """Open requests in four age bands; a creation date ahead of now counts as youngest.
+
+    With counts by day, facts are read of the three days only at which a band begins.
+    """
+    edges = {"_7": before(as_of, 7), "_30": before(as_of, 30), "_90": before(as_of, 90)}
+    rows = facts.where(~F.col("is_closed"))
     created = F.col("created_date")
-    d7, d30, d90 = (before(as_of, d) for d in (7, 30, 90))
+    if by_day is not None:
+        days = [F.to_date(e) for e in edges.values()]
+        inside = [(created >= d.cast("timestamp_ntz")) & (created < F.date_add(d, 1).cast("timestamp_ntz")) for d in days]
+        rows = rows.where(inside[0] | inside[1] | inside[2])
+        rows = rows.where(F.col("created_month").isin([month_of(e) for e in edges.values()]))
+    found = rows.select(F.lit(1).cast("long").alias(COUNT), *[(created > e).alias(c) for c, e in edges.items()])
+    if by_day is not None:
+        whole = by_day.where(~F.col("is_closed") & ~F.col("request_date").isin(days))
+        found = found.unionByName(
+            whole.select(COUNT, *[(F.col("request_date") > F.to_date(e)).alias(c) for c, e in edges.items()])
+        )
+    younger = [F.col(c) for c in edges]
     bands = {
-        "lt_7d": created > d7,
-        "d7_to_30": (created <= d7) & (created > d30),
-        "d30_to_90": (created <= d30) & (created > d90),
-        "gt_90d": created <= d90,
+        "lt_7d": younger[0],
+        "d7_to_30": ~younger[0] & younger[1],
+        "d30_to_90": ~younger[1] & younger[2],
+        "gt_90d": ~younger[2],
     }
-    return facts.where(~F.col("is_closed")).agg(
-        *[F.sum(F.when(inside, 1).otherwise(0)).alias(name) for name, inside in bands.items()]
-    )
+    return found.agg(*[F.sum(F.when(inside, F.col(COUNT)).otherwise(0)).alias(name) for name, inside in bands.items()])
 
 
 def all_views(gold: Gold, as_of: datetime | None) -> dict[str, DataFrame]:
@@ -156,7 +172,7 @@ def all_views(gold: Gold, as_of: datetime | None) -> dict[str, DataFrame]:
         ),
         "v_requests_by_agency": requests_by_agency(gold.counted("agency"), dims["dim_agency"]),
         "v_requests_by_day_of_week": requests_by_day_of_week(by_day, dims["dim_date"]),
-        "v_backlog_aging": backlog_aging(facts, as_of),
+        "v_backlog_aging": backlog_aging(facts, as_of, by_day),
     }
 
 
