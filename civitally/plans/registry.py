@@ -94,7 +94,8 @@ def _on_days(which: str, fn: Callable[..., DataFrame], *args) -> Query:
 def _trailing(which: str, fn: Callable[..., DataFrame], as_of: datetime) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
         gold = _gold(spark, d, which)
-        return fn(gold.facts(), as_of, gold.counted("day"))
+        folders = gold.current_folders()[1]
+        return fn(gold.facts(folders), as_of, gold.counted("day", folders))
 
     return run
 

@@ -161,16 +161,17 @@ def backlog_aging(
 
 
 def all_views(gold: Gold, as_of: datetime | None) -> dict[str, DataFrame]:
-    facts, dims, by_day = gold.facts(), gold.dimensions(), gold.counted("day")
+    folders = gold.current_folders()[1]  # all views of one version
+    facts, dims, by_day = gold.facts(folders), gold.dimensions(), gold.counted("day", folders)
     return {
         "v_requests_daily": requests_daily(by_day),
         "v_requests_7d": requests_7d(facts, as_of, by_day),
         "v_requests_30d": requests_30d(facts, as_of, by_day),
-        "v_requests_by_borough": requests_by_borough(gold.counted("location"), dims["dim_location"]),
+        "v_requests_by_borough": requests_by_borough(gold.counted("location", folders), dims["dim_location"]),
         "v_requests_by_complaint_type": requests_by_complaint_type(
-            gold.counted("complaint_type"), dims["dim_complaint_type"]
+            gold.counted("complaint_type", folders), dims["dim_complaint_type"]
         ),
-        "v_requests_by_agency": requests_by_agency(gold.counted("agency"), dims["dim_agency"]),
+        "v_requests_by_agency": requests_by_agency(gold.counted("agency", folders), dims["dim_agency"]),
         "v_requests_by_day_of_week": requests_by_day_of_week(by_day, dims["dim_date"]),
         "v_backlog_aging": backlog_aging(facts, as_of, by_day),
     }

@@ -141,12 +141,14 @@ class Gold:
     def _months(self, months: dict[str, str]) -> DataFrame:
         return self._folders("facts", STORED_FACT, months)
 
-    def facts(self) -> DataFrame:
-        return self._months(self.current_folders()[1]).drop("load_id")
+    def facts(self, folders: dict[str, str] | None = None) -> DataFrame:
+        """All facts, or those of some months of one manifest."""
+        return self._months(self.current_folders()[1] if folders is None else folders).drop("load_id")
 
-    def counted(self, kind: str) -> DataFrame:
+    def counted(self, kind: str, folders: dict[str, str] | None = None) -> DataFrame:
         """Requests counted by day, place, type or agency, with their state and hours."""
-        found = self._folders("counts", COUNTS, self.current_folders()[1], f"/kind={kind}")
+        folders = self.current_folders()[1] if folders is None else folders
+        found = self._folders("counts", COUNTS, folders, f"/kind={kind}")
         return found.select(*KINDS[kind], "is_closed", HOURS, COUNT, "created_month")
 
     def _located(self, keyed: DataFrame, months: dict[str, Row], low: int, high: int, ws: Workspace) -> DataFrame:
