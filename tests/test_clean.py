@@ -224,3 +224,22 @@ def test_lookups_by_zip_are_staged_and_spread(spark, monkeypatch):
         assert {r["community_board"]: r["_board_district"] for r in by_board.collect()} == {"C0": 0, "C1": 1, "C2": 1}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_page_fills_shuffle_once_and_send_nothing(spark):
+    """Lookups of pages grow with the pages; none is broadcast, and rows meet their page in one shuffle."""
+    plan = impute(spark.createDataFrame(random_rows(), SCHEMA), Workspace(spark), scope=("page",))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Broadcast" not in text
+    assert text.count("Exchange hashpartitioning(page") == text.count("Exchange") == 1
+    assert text.count("Window [") <= 7
+
+
+def test_least_structured_orders_are_combined_by_hash(spark):
+    order = F.struct(F.lit("run").alias("run"), F.concat(F.lit("f"), (F.col("id") % 3).cast("string")).alias("file"), F.col("id").alias("row"))
+    order = F.when(F.col("id") % 7 > 1, order.withField("row", F.when(F.col("id") != 9, F.col("id"))))  # null orders, and one of a null number
+    df = spark.range(60).select((F.col("id") % 4).alias("k"), order.alias("o"))
+    got = impute_module._first_rows(df, ["k"], "o")
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString().split("_number")[-1]
+    want = df.groupBy("k").agg(F.min("o").alias("first_row"), F.count("*").alias("n"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
