@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..workspace import Workspace
 
 
-def _agree(columns: list[str], prefix: str) -> Column:
+def same_key(columns: list[str], prefix: str) -> Column:
+    """Equality of the columns with those of the other side, whose names have the prefix; nulls are equal."""
     return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns])
 
 
@@ -26,7 +27,7 @@ def without(df: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
     key shared by very many rows is spread by its order.
     """
     found = rows.select(*[F.col(c).alias(f"_not_{c}") for c in columns])
-    return df.join(found, _agree(columns, "_not_"), "left_anti")
+    return df.join(found, same_key(columns, "_not_"), "left_anti")
 
 
 def repeated_rows(
@@ -40,19 +41,22 @@ def repeated_rows(
 ) -> DataFrame:
     """Key, scope and order of all rows whose key has several, and whether a row is ``_lost``.
 
-    Only these narrow columns are read and shuffled. The best order of a key is a map-side
-    combined minimum, so a hot key leaves each task as one row; only keys held by several rows
-    are met with their rows again, in a join that adaptive execution splits by size. The result is
-    a written table. ``df`` must give the same rows each time it is read.
+    Keys are counted first, by themselves: a hash aggregation of fixed-size values. Only rows of keys
+    held by several rows are met again, in a join that adaptive execution splits by size, and only
+    their orders are compared, by a map-side combined minimum. The result is a written table.
+    ``df`` must give the same rows each time it is read.
     """
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
     columns = [*scope, key]
     best = F.min(order) if keep == "first" else F.max(order)
-    narrow = df.select(*_with(columns, order))
-    several = narrow.groupBy(*columns).agg(best.alias("_best"), F.count("*").alias("_n")).where("_n > 1")
-    several = several.select(*[F.col(c).alias(f"_of_{c}") for c in columns], "_best")
-    met = narrow.join(several, _agree(columns, "_of_"))
+    several = df.groupBy(*columns).agg(F.count("*").alias("_n")).where("_n > 1")
+    several = ws.stage(several.select(*[F.col(c).alias(f"_of_{c}") for c in columns]), f"{name}-keys")
+    met = df.select(*_with(columns, order)).join(several, same_key(columns, "_of_"), "left_semi")
+    met = ws.stage(met, f"{name}-rows")
+    bests = met.groupBy(*columns).agg(best.alias("_best"))
+    bests = bests.select(*[F.col(c).alias(f"_of_{c}") for c in columns], "_best")
+    met = met.join(bests, same_key(columns, "_of_"))
     return ws.stage(met.select(*_with(columns, order), (F.col(order) != F.col("_best")).alias("_lost")), name)
 
 
@@ -83,6 +87,6 @@ def keep_one_per_key(
     tied = ws.stage(tied.select(*both), f"{name}-tied")
     nth = F.row_number().over(Window.partitionBy(*columns).orderBy(order))
     again = tied.select(*[F.col(c).alias(f"_not_{c}") for c in both])
-    ranked = kept.join(again, _agree(both, "_not_"), "left_semi").withColumn("_nth", nth)
+    ranked = kept.join(again, same_key(both, "_not_"), "left_semi").withColumn("_nth", nth)
     one = ranked.where(F.col("_nth") == 1).drop("_nth")
     return without(kept, tied, both).unionByName(one)

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import Workspace
+from .dedup import same_key, without
+
 # On a key conflict: take the new value when it is known, else keep the old one.
 NEW_IF_KNOWN = ["closed_date", "resolution_time_in_hours"]
 # On a key conflict: always take the new value.
@@ -52,3 +55,25 @@ def fold_by_key(rows: DataFrame, order: str, key: str = "unique_key") -> DataFra
     folded = rows.groupBy(key).agg(*aggregates)
     place = {c: f"_last.{c}" for c in latest} | {c: f"_first.{c}" for c in frozen}
     return folded.select(*[F.col(place.get(c, c)).alias(c) for c in rows.columns if c != order])
+
+
+#: Beyond this share of rows with repeated keys all rows are folded, rather than met twice.
+MOSTLY = 0.25
+
+
+def fold_repeats(rows: DataFrame, order: str, ws: Workspace, key: str = "unique_key") -> DataFrame:
+    """``fold_by_key`` of the staged ``rows``; rows whose key has no other row pass as they are.
+
+    Folding keeps whole rows in its buffers, so it sorts and shuffles them. Keys are counted first,
+    in a hash aggregation of the key alone, and as a rule few or none are held twice.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+    repeated = ws.stage(counts, "repeated-keys")
+    several = repeated.agg(F.sum("_n")).first()[0]
+    if not several:
+        return rows.drop(order)
+    if several > MOSTLY * rows.count():
+        return fold_by_key(rows, order, key)
+    again = repeated.select(F.col(key).alias(f"_of_{key}"))
+    folded = ws.stage(fold_by_key(rows.join(again, same_key([key], "_of_"), "left_semi"), order, key), "refolded")
+    return without(rows, repeated, [key]).drop(order).unionByName(folded)

@@ -10,7 +10,9 @@ and repeating it is harmless.
 Two small tables are kept beside the facts, folder for folder. ``key_filters`` holds a Bloom
 filter of a month's keys; with the month's key range in the manifest it tells a load which
 stored months its keys may lie in. ``counts`` holds the requests counted by day, place, type
-and agency with their state and hours, from which views are computed without facts.
+and agency together with their state and hours, from which views are computed without facts.
+Hours are so fine that counts by one dimension have nearly as many rows as the facts, and
+one table per dimension would be several times their size.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from datetime import datetime
 from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +29,7 @@ from ..functions.timeparts import month_of, ntz
 from ..operators.dimensions import DIMENSIONS, Dimension, met_by, new_members, with_ids
 from ..operators.key_filter import blocks_for, build_filters, may_hold
 from ..operators.keys import resolve_keys
-from ..operators.merge import fold_by_key, merge_by_key
+from ..operators.merge import fold_repeats, merge_by_key
 from ..operators.metrics import COUNT, HOURS
 from ..schemas import FACT, HOURS_TYPE
 from ..workspace import Workspace, concurrently, empty_table, local_table
@@ -45,7 +47,7 @@ MANIFEST = _schema(("months", T.MapType(TEXT, MONTH)))
 STORED_FACT = T.StructType([*FACT.fields, *_schema(*FOLDER)])
 FILTERS = _schema(("block", LONG), *[(f"w{i}", LONG) for i in range(8)], *FOLDER)
 
-#: What requests are counted by: the kind of a count, and the columns that it fills.
+#: What views count by: the kind of a count, and its columns.
 KINDS = {
     "day": ["request_date", "date_id"],
     "location": ["location_id"],
@@ -54,7 +56,7 @@ KINDS = {
 }
 COUNTS = _schema(
     ("request_date", T.DateType()), ("date_id", LONG), ("location_id", LONG), ("complaint_type_id", LONG), ("agency_id", LONG),
-    ("is_closed", T.BooleanType()), (HOURS, HOURS_TYPE), (COUNT, LONG), *FOLDER, ("kind", TEXT),
+    ("is_closed", T.BooleanType()), (HOURS, HOURS_TYPE), (COUNT, LONG), *FOLDER,
 )
 
 
@@ -130,12 +132,12 @@ class Gold:
     def _manifest(self, version: int) -> str:
         return f"{self.root}/manifest/{version:012d}"
 
-    def _folders(self, table: str, schema: T.StructType, months: dict[str, str], below: str = "") -> DataFrame:
+    def _folders(self, table: str, schema: T.StructType, months: dict[str, str]) -> DataFrame:
         """Exactly the folders of these months."""
         if not months:
             return empty_table(self.spark, schema)
         base = f"{self.root}/{table}"
-        folders = [f"{base}/created_month={m}/load_id={v}{below}" for m, v in sorted(months.items())]
+        folders = [f"{base}/created_month={m}/load_id={v}" for m, v in sorted(months.items())]
         return self.spark.read.schema(schema).option("basePath", base).parquet(*folders)
 
     def _months(self, months: dict[str, str]) -> DataFrame:
@@ -148,16 +150,21 @@ class Gold:
     def counted(self, kind: str, folders: dict[str, str] | None = None) -> DataFrame:
         """Requests counted by day, place, type or agency, with their state and hours."""
         folders = self.current_folders()[1] if folders is None else folders
-        found = self._folders("counts", COUNTS, folders, f"/kind={kind}")
+        found = self._folders("counts", COUNTS, folders)
         return found.select(*KINDS[kind], "is_closed", HOURS, COUNT, "created_month")
 
-    def _located(self, keyed: DataFrame, months: dict[str, Row], low: int, high: int, ws: Workspace) -> DataFrame:
+    def _located(self, keyed: DataFrame, months: dict[str, Row], low: int, high: int, size: int, ws: Workspace) -> DataFrame:
         """``unique_key, created_month`` of the batch's keys that are stored.
 
         Key ranges first, then the filters of the months in range, and only months whose
-        filter holds a key of the batch have their key column read.
+        filter holds a key of the batch have their key column read. A batch so large that its keys
+        would ask the filters of these months more often than the months have keys meets the
+        key columns outright: that costs the stored keys once, not the batch once per month.
         """
         near = {m: s for m, s in months.items() if s["low"] <= high and s["high"] >= low}
+        if size * len(near) > sum(s["keys"] for s in near.values()):
+            stored = self._months({m: s["load_id"] for m, s in near.items()}).select("unique_key", "created_month")
+            return stored.join(keyed.select("unique_key"), "unique_key", "left_semi")
         ranges = local_table(
             self.spark,
             _schema(("created_month", TEXT), ("low", LONG), ("high", LONG), ("blocks", LONG)),
@@ -172,7 +179,7 @@ class Gold:
         stored = self._months({m: months[m]["load_id"] for m in open_}).select("unique_key", "created_month")
         return maybe.select("unique_key", "created_month").join(stored, ["unique_key", "created_month"], "left_semi")
 
-    def _home_months(self, keyed: DataFrame, months: dict[str, Row], low: int, high: int, ws: Workspace) -> list[str]:
+    def _home_months(self, keyed: DataFrame, months: dict[str, Row], low: int, high: int, size: int, ws: Workspace) -> list[str]:
         """Months the batch belongs to: the stored month of known keys, else its own.
 
         A stored request stays in the month it was first seen in.
@@ -180,7 +187,7 @@ class Gold:
         own = month_of(F.col("created_date"))
         if not months:
             return [r[0] for r in keyed.select(own).distinct().collect()]
-        located = self._located(keyed, months, low, high, ws)
+        located = self._located(keyed, months, low, high, size, ws)
         arriving = keyed.select("unique_key", own.alias("own_month")).join(located, "unique_key", "left")
         home = F.coalesce("created_month", "own_month")
         return [r[0] for r in arriving.select(home).distinct().collect()]
@@ -207,7 +214,7 @@ class Gold:
             return 0
         version, months = self.manifest()
         with Workspace(self.spark, "locate") as ws:
-            homes = self._home_months(keyed, months, size["low"], size["high"], ws)
+            homes = self._home_months(keyed, months, size["low"], size["high"], size["n"], ws)
         batch = keyed.withColumn("created_at", ntz(loaded_at)).select(*[f.name for f in FACT])
         old_months = {m: months[m]["load_id"] for m in homes if m in months}
         if old_months:
@@ -274,16 +281,10 @@ class Gold:
     def _write_counts(self, written: dict[str, str]) -> dict[str, int]:
         """Counts of the months as written, in one scan; returns the rows whose ids point nowhere."""
         facts = self._months(written).withColumn("request_date", F.to_date("created_date"))
-        state = ["created_month", "load_id", "is_closed", HOURS]
+        groups = ["created_month", "load_id"]
         by = [c for columns in KINDS.values() for c in columns]
-        counts = facts.groupingSets([[*state, *columns] for columns in KINDS.values()], *state, *by).agg(
-            F.count("*").alias(COUNT), *[F.grouping(c).alias(f"_{c}") for c in by]
-        )
-        kind: Column = reduce(
-            lambda other, k: F.when(F.col(f"_{KINDS[k][0]}") == 0, k).otherwise(other), KINDS, F.lit(None)
-        )
-        named = counts.withColumn("kind", kind).drop(*[f"_{c}" for c in by])
-        self._write(named.hint("rebalance", "created_month", "kind"), "counts", "created_month", "load_id", "kind")
+        counts = facts.groupBy(*groups, *by, "is_closed", HOURS).agg(F.count("*").alias(COUNT))
+        self._write(counts.hint("rebalance", "created_month"), "counts", *groups)
         return self._dangling(self._folders("counts", COUNTS, written))
 
     def _dangling(self, counts: DataFrame) -> dict[str, int]:
@@ -322,6 +323,6 @@ def upsert(
     if order is None:
         order = "_order"
         silver = silver.withColumn(order, F.monotonically_increasing_id())
-    silver = ws.stage(fold_by_key(silver, order), "folded")
+    silver = fold_repeats(ws.stage(silver, "arrived"), order, ws)
     keyed = ws.stage(resolve_keys(silver, gold.dimensions_of(silver, ws)), "keyed")
     return gold.upsert_facts(keyed, load_id, loaded_at)

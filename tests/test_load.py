@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from civitally.operators.dimensions import DIMENSIONS
 from civitally.operators.enrich import enrich
-from civitally.operators.merge import merge_by_key
+from civitally.operators.merge import fold_by_key, fold_repeats, merge_by_key
 from civitally.plans import jobs
 from civitally.plans.registry import _star
 from civitally.sources import adapters as src
@@ -177,3 +177,28 @@ def test_no_local_folder_on_a_cluster():
     chosen.isDefined.return_value = True
     chosen.get.return_value = "hdfs://x/y/"
     assert workspace.shared_root(elsewhere) == "hdfs://x/y"
+
+
+def test_only_repeated_keys_are_folded(spark):
+    for repeats in (0, 3, 40):  # none, a few, most
+        rows = [(i, 2 * i, f"s{i}", None if i % 3 else f"c{i}") for i in range(50)]
+        rows += [(i, 2 * i + 1, f"t{i}", f"d{i}" if i % 2 else None) for i in range(repeats)]
+        rows += [(None, 200, "n", None), (None, 201, "m", "x")][: 2 if repeats else 1]
+        df = spark.createDataFrame(rows, "unique_key long, at long, status string, closed_date string")
+        got = fold_repeats(df, "at", Workspace(spark))
+        want = fold_by_key(df, "at")
+        assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("Aggregate" in plan) == (repeats == 40) and (repeats > 0 or "Exchange" not in plan)
+
+
+def test_large_batches_meet_stored_keys_once(silver, load, monkeypatch):
+    """Sixty keys would ask the filters of six months 360 times; the months hold sixty keys."""
+    rows = [request(i, f"2024-{1 + i % 6:02d}-10 10:00:00") for i in range(60)]
+    load(silver(*rows), "a")
+    counts = load.gold.counted("agency")
+    assert counts.count() <= load.gold.facts().count()  # once, not once per dimension
+    monkeypatch.setattr(gold_module, "may_hold", MagicMock(side_effect=AssertionError))
+    load(silver(*[request(i, "2024-07-01 00:00:00") for i in range(30, 90)]), "b")
+    assert sorted(load.gold.current_folders()[1]) == [f"2024-{m:02d}" for m in range(1, 8)]
+    assert load.gold.facts().count() == 90
