@@ -54,8 +54,7 @@ def _build_gold(spark: SparkSession, sf_dir: str, which: str) -> Gold:
         source, now = src.with_required_columns(src.dense(spark, sf_dir)), B_NOW
     gold = Gold(spark, f"{Workspace(spark, f'gold-{which}').path}/gold")
     with Workspace(spark, "load") as ws:
-        silver = ws.stage(enrich(clean(source, ws, order="unique_key")), "silver")
-        upsert(gold, silver, ws, "first", now)
+        upsert(gold, enrich(clean(source, ws, order="unique_key")), ws, "first", now)
     return gold
 
 
@@ -69,9 +68,10 @@ def _raw_dimensions(spark: SparkSession, sf_dir: str) -> Gold:
     """Dimensions of the unimputed history, filled by an early and a full batch."""
     ws = Workspace(spark, "dims")
     gold = Gold(spark, f"{ws.path}/gold")
-    full = src.history(spark, sf_dir)
-    for batch in (src.snapshot(full, A_CUT), full):
-        concurrently(spark, *[partial(gold.append_new_members, dim, batch) for dim in DIMENSIONS])
+    with Workspace(spark, "dims-source") as read:
+        full = read.stage(src.history(spark, sf_dir), "history")  # eight listings read it
+        for batch in (src.snapshot(full, A_CUT), full):
+            concurrently(spark, *[partial(gold.append_new_members, dim, batch) for dim in DIMENSIONS])
     return gold
 
 
@@ -241,6 +241,7 @@ def enrich_requests(spark: SparkSession, d: str) -> DataFrame:
 def _two_runs(spark: SparkSession, ws: Workspace, full: DataFrame, cut: datetime) -> str:
     """Pages of an early run and of a later one, below one shared folder."""
     bronze = f"{ws.path}/bronze/historical"
+    full = ws.stage(full, "source")  # both runs read it, and each sort samples before it sorts
     land_pages(src.as_text(src.snapshot(full, cut)), bronze, BEGINNING)
     land_pages(src.as_text(changed_since(full, cut)), bronze, cut)
     return bronze
@@ -322,7 +323,7 @@ def gold_load(spark: SparkSession, d: str) -> DataFrame:
 def late_closure_upsert(spark: SparkSession, d: str) -> DataFrame:
     """Two daily runs of the whole job chain; the second starts at the saved mark."""
     ws = Workspace(spark, "late")
-    full = src.history(spark, d)
+    full = ws.stage(src.history(spark, d), "source")  # both runs read it, and each sort samples before it sorts
     root, state = f"{ws.path}/gold", f"{ws.path}/state"
     runs = [(src.snapshot(full, A_CUT), A_CUT, BEGINNING), (full, A_NOW, None)]
     for i, (source, now, start) in enumerate(runs):
