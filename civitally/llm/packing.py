@@ -5,7 +5,8 @@ Pieces are dealt into blocks of bounded size. In each block several islands evol
 packings on their own: a solution is a list of bins, crossover injects whole well-filled
 bins of one parent into the other, drops the bins that now hold a document twice, and
 best-fits the documents this displaced. After an epoch the elite of every island migrates
-to the next island of its block; the last epoch's best solution is the block's packing.
+to the next island of its block; the last epoch evolves the elites of all islands of a block
+together, and its best solution is the block's packing.
 
 Every block leaves a few badly filled bins. Their pieces go on to the next level, where
 fewer blocks pack what all blocks of the level before could not place well, until one
@@ -34,8 +35,8 @@ CAPACITY = 2048
 BLOCK = 4000
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 3
-GENERATIONS = 4
+POPULATION = 6
+GENERATIONS = 60  # of an epoch; evolution ends earlier only where no packing has fewer bins
 WELL_FILLED = 0.998
 FAN_IN = 16
 
@@ -204,13 +205,13 @@ def _solutions(frame: pd.DataFrame) -> tuple[pd.DataFrame, list[list]]:
 
 
 def _next_epoch(solutions: DataFrame, capacity: int, last: bool) -> DataFrame:
-    """A later epoch with the migrated elites; the last one ends with one solution per block."""
+    """A later epoch with the migrated elites; in the last one the islands of a block are one population."""
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         block, island = int(key[0]), int(key[1]) if len(key) > 1 else 0
         members, population = _solutions(frame)
         size, random = members["length"].tolist(), Random(block * 2003 + island)
-        best = evolve(size, population, capacity, random, 0 if last else GENERATIONS)[0]
+        best = evolve(size, population, capacity, random, GENERATIONS)[0]
         elite = _rows(members, best, {"block": block})
         home = elite.assign(island=island, parent=island)
         return home[_SOLUTION_COLUMNS]

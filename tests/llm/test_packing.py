@@ -111,3 +111,36 @@ def test_crossover_keeps_every_member():
     child = packing.crossover(one, two, size, 2048, rng)
     assert sorted(i for b in child for i in b) == list(range(300))
     assert all(sum(size[i] for i in b) <= 2048 for b in child)
+
+
+def test_blocks_above_the_bound_evolve_in_every_epoch(monkeypatch):
+    """Best fit does not meet the bound of these pieces; no epoch may end after a handful of generations."""
+    import pandas as pd
+
+    made = []
+    monkeypatch.setattr(packing, "crossover", lambda *a, f=packing.crossover: (made.append(1), f(*a))[1])
+    rng, size = random.Random(0), []
+    for _ in range(60):
+        one = rng.randint(500, 900)
+        two = rng.randint(400, 1748 - one)
+        size += [one, two, 2048 - one - two]
+    frame = pd.DataFrame({"uid": range(len(size)), "length": size})
+    epochs = []
+
+    class Grouped:
+        """Stands for a table of one block; its groups are handed to the epochs as they are."""
+
+        def withColumn(self, *_):
+            return self
+
+        groupBy = withColumn
+
+        def applyInPandas(self, run, _):
+            epochs.append(run)
+
+    packing._islands(Grouped(), 2048)
+    packing._next_epoch(Grouped(), 2048, last=True)
+    first = epochs[0]((0, 0), frame)
+    assert len(made) == packing.GENERATIONS >= 50
+    epochs[1]((0,), pd.concat([first, epochs[0]((0, 1), frame)]).drop_duplicates(["uid", "parent"]))
+    assert len(made) == 3 * packing.GENERATIONS
