@@ -20,8 +20,10 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 from random import Random
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,19 +77,19 @@ def fitness(rooms: list[int], capacity: int) -> float:
 def crossover(one: list, two: list, size: list[int], capacity: int, random: Random) -> list:
     """Inject well-filled bins of ``two`` into ``one``, drop clashing bins, best-fit what fell out."""
     def room(b: list[int]) -> int:
-        return capacity - sum(size[i] for i in b)
+        return capacity - sum(map(size.__getitem__, b))
 
     good = [b for b in two if room(b) <= (1 - WELL_FILLED) * capacity]
     injected = random.sample(good, -(-len(good) // 4)) if good else []
     taken = {i for b in injected for i in b}
-    kept, displaced = [], []
+    kept, loose, displaced = [], [], []
     for b in one:
-        if taken.isdisjoint(b):
+        if not taken.isdisjoint(b):
+            displaced.extend(i for i in b if i not in taken)
+        elif room(b) <= (1 - WELL_FILLED) * capacity:
             kept.append(b)
         else:
-            displaced.extend(i for i in b if i not in taken)
-    loose = [b for b in kept if room(b) > (1 - WELL_FILLED) * capacity]
-    kept = [b for b in kept if room(b) <= (1 - WELL_FILLED) * capacity]
+            loose.append(b)
     for b in loose:  # mutation: badly filled bins are taken apart too
         displaced.extend(b)
     bins = [list(b) for b in injected + kept]
@@ -112,7 +114,7 @@ def first_solution(size: list[int], capacity: int, random: Random, shuffled: boo
 def evolve(size: list[int], population: list, capacity: int, random: Random, generations: int) -> list:
     """The population after some generations, best first."""
     def score(bins: list) -> tuple:
-        rooms = [capacity - sum(size[i] for i in b) for b in bins]
+        rooms = [capacity - sum(map(size.__getitem__, b)) for b in bins]
         return len(bins), -fitness(rooms, capacity)
 
     ranked = sorted(((score(b), b) for b in population), key=lambda x: x[0])
@@ -155,15 +157,17 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
 
 def _rows(frame: pd.DataFrame, bins: list, columns: dict) -> pd.DataFrame:
     """A solution as rows: which bin, where in it, and how full the bin is."""
-    uid, size = frame["uid"].to_numpy(), frame["length"].to_numpy()
-    out = []
-    for number, members in enumerate(bins):
-        at, full = 0, int(size[members].sum())
-        for i in members:
-            out.append((uid[i], size[i], number, at, full))
-            at += int(size[i])
-    made = pd.DataFrame(out, columns=["uid", "length", "bin", "offset", "fill"])
-    return made.assign(**columns)
+    members = np.fromiter(chain.from_iterable(bins), np.int64, len(frame))
+    counts = np.fromiter(map(len, bins), np.int64, len(bins))
+    size, number = frame["length"].to_numpy()[members], np.repeat(np.arange(len(bins)), counts)
+    ends = np.cumsum(size)
+    last = np.cumsum(counts) - 1  # no bin is empty
+    before = np.r_[0, ends[last[:-1]]]
+    made = {
+        "uid": frame["uid"].to_numpy()[members], "length": size, "bin": number,
+        "offset": ends - size - before[number], "fill": (ends[last] - before)[number],
+    }
+    return pd.DataFrame(made | columns)
 
 
 _SOLUTION = "uid long, length long, bin long, offset long, fill long, block long, island int, parent int"
@@ -193,13 +197,14 @@ def _islands(members: DataFrame, capacity: int) -> DataFrame:
 
 def _solutions(frame: pd.DataFrame) -> tuple[pd.DataFrame, list[list]]:
     """The members of a block and the solutions its rows describe."""
-    first = frame[frame["parent"] == frame["parent"].iloc[0]].sort_values("uid", ignore_index=True)
-    at = {u: i for i, u in enumerate(first["uid"])}
-    found = []
-    for _, rows in frame.groupby("parent"):
+    parent = frame["parent"].to_numpy()
+    first = frame[parent == parent[0]].sort_values("uid", ignore_index=True)
+    uids, found = first["uid"].to_numpy(), []
+    for p in np.unique(parent):
+        rows = frame[parent == p]
         bins: dict[int, list[int]] = {}
-        for u, b in zip(rows["uid"], rows["bin"]):
-            bins.setdefault(b, []).append(at[u])
+        for i, b in zip(np.searchsorted(uids, rows["uid"].to_numpy()).tolist(), rows["bin"].tolist()):
+            bins.setdefault(b, []).append(i)
         found.append(list(bins.values()))
     return first, found
 

@@ -3,6 +3,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from civitally.llm import packing
@@ -144,3 +145,26 @@ def test_blocks_above_the_bound_evolve_in_every_epoch(monkeypatch):
     assert len(made) == packing.GENERATIONS >= 50
     epochs[1]((0,), pd.concat([first, epochs[0]((0, 1), frame)]).drop_duplicates(["uid", "parent"]))
     assert len(made) == 3 * packing.GENERATIONS
+
+
+def test_rows_of_a_solution_against_a_plain_loop():
+    """Rows tell where every member lies, and the solutions of a block come back from them."""
+    rng = np.random.default_rng(3)
+    frame = pd.DataFrame({"uid": np.sort(rng.choice(10**12, 500, replace=False)), "length": rng.integers(1, 2049, 500)})
+    size = frame["length"].tolist()
+    solutions = [packing.first_solution(size, 2048, random.Random(4), s) for s in (False, True)]
+    made = []
+    for parent, bins in enumerate(solutions):
+        rows = packing._rows(frame, bins, {"block": 7}).assign(island=0, parent=parent)
+        want = []
+        for number, members in enumerate(bins):
+            at, full = 0, sum(size[i] for i in members)
+            for i in members:
+                want.append((frame["uid"][i], size[i], number, at, full, 7))
+                at += size[i]
+        assert list(rows[["uid", "length", "bin", "offset", "fill", "block"]].itertuples(index=False, name=None)) == want
+        made.append(rows)
+    mixed = pd.concat(made).sample(frac=1, random_state=1)
+    first, found = packing._solutions(mixed)
+    assert first["uid"].tolist() == frame["uid"].tolist()
+    assert [sorted(map(sorted, bins)) for bins in found] == [sorted(map(sorted, bins)) for bins in solutions]
