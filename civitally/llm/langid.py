@@ -13,7 +13,7 @@ below it, and never above ``SURE``. Scores are the calibrated probability of the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -226,10 +226,12 @@ def train(docs: DataFrame) -> Model:
     return fit(rows, languages)
 
 
-def _name(docs: DataFrame, model: Model, carried: list[str]) -> DataFrame:
+def _name(docs: DataFrame, model: Model, carried: list[str], texts: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """The carried columns and the language of each row; ``texts`` takes the texts from a batch."""
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            named = [model.name(t.as_py()) for t in part["__utf8"]]
+            named = [model.name(t.as_py() or b"") for t in texts(part)]
             lang, score, rejected = zip(*named) if named else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [part[c] for c in carried]
@@ -250,10 +252,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     is looked at; repeated rows get the same answer; further columns are ignored.
     """
     rows = docs.select("doc_id", held_out().alias("held_out"), utf8().alias("__utf8"))
-    return _name(rows, model, ["doc_id", "held_out"])
+    return _name(rows, model, ["doc_id", "held_out"], lambda part: part["__utf8"])
 
 
 def drop_rejected(docs: DataFrame, model: Model) -> DataFrame:
     """Rows of ``docs`` whose language is recognised, whatever columns they have."""
-    named = _name(whole_rows(docs, utf8().alias("__utf8")), model, ["row"])
+    at = [c.lower() for c in docs.columns].index("text")
+    # the text goes to Python once, as part of its row
+    named = _name(whole_rows(docs), model, ["row"], lambda part: part["row"].field(at).cast(pa.binary()))
     return unwrapped(named.where("not rejected"))

@@ -75,3 +75,12 @@ def test_every_label_is_learned(docs_of, monkeypatch):
 
 def test_bytes_that_are_no_text():
     assert not langid.has_letter(b"\xff\xfe 12") and langid.has_letter(b"\xff a") and langid.has_letter("ж".encode())
+
+
+def test_filter_sends_each_text_to_python_once(docs_of):
+    docs = docs_of([(1, "a b"), (2, None)])
+    model = langid.Model(["en"], np.zeros((langid.BUCKETS, 1), np.float32), np.zeros(1, np.float32))
+    kept = langid.drop_rejected(docs.withColumnRenamed("text", "Text"), model)
+    assert [(r.doc_id, r.Text) for r in kept.collect()] == [(1, "a b")]
+    sent = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in sent and "cast(" not in sent
